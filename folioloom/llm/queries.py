@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import table
-from . import encodings, lookalikes
+from . import encodings, lookalikes, ocr, truncation
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.truncated(table(spark, sf_dir, "records"), "ingest_pos", "abstract", "source_file").select("ingest_pos").distinct()
+
+
+def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.truncation_rates(table(spark, sf_dir, "records"), "ingest_pos", "abstract", "source_file")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +24,15 @@ def p6_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.unify(table(spark, sf_dir, "records"), "ingest_pos", ["abstract", "authors_raw"])
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fixed = ocr.repair_fields(table(spark, sf_dir, "records"), "ingest_pos", ["abstract", "title"])
+    return fixed.filter("size(kinds) > 0").select("ingest_pos", "field_name").distinct()
+
+
+def p7_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ocr.repair_fields(table(spark, sf_dir, "records"), "ingest_pos", ["abstract", "title"]).filter("size(kinds) > 0")
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encodings.garbled(table(spark, sf_dir, "documents")).select("doc_id").distinct()
 
@@ -24,5 +41,5 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encodings.repair(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_forms": p6_forms, "p10_found": p10_found, "p10_restored": p10_restored}
+QUERIES = {f.__name__: f for f in (p5_found, p5_rates, p6_found, p6_forms, p7_found, p7_repaired, p10_found, p10_restored)}
 SQL: dict[str, str] = {}
