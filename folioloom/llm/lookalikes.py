@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -43,7 +42,6 @@ _LATIN = re.compile("[A-Za-zÀ-ɏ]")
 _NON_ASCII = re.compile(r"[^\x00-\x7f]")
 
 
-@lru_cache(maxsize=1 << 16)
 def _other_form(ch: str) -> bool:
     """Whether one character is another encoding form of ordinary text."""
     if unicodedata.category(ch) == "Mn":

@@ -32,7 +32,7 @@ WORD_SHARE, PAIR_SHARE, HEAD_SHARE = 1e-5, 2e-5, 1e-5
 LEAST = 3
 #: A misread form is at least so many times rarer than the word it stands for.
 RARER = 20
-DIM = 24
+DIM = 16
 
 # Strokes of characters that scanners mistake for one another. A
 # character is spelled out in strokes, so that rn = m, cl = d, li = h, ii = u, vv = w.
@@ -47,6 +47,7 @@ _SPACED = re.compile(r"(?<!\S)[^\W\d_](?: [^\W\d_]){2,}(?![^\W_])")
 _END = re.compile(r"[\w)\]”’\"'%°][.!?][\"”’)»\]]*\s*$")
 _NUMBER_LINE = re.compile(r"^\W*(?:[Pp](?:age|AGE|\.)?\s*)?\d{1,4}(?:\s*(?:of|OF)\s*\d{1,4})?\W*$")
 _INLINE = re.compile(r"(?:_{3,}[ \t]*\d{1,4}\b)|(?:(?<=\s)\[\d{1,4}\](?=\s|$))|(?:(?<=\s)[-–] ?\d{1,4} ?[-–](?=\s|$))|(?:(?<![(\w] )\b(?:Page|PAGE) \d{1,4}(?: (?:of|OF) \d{1,4})?\b)")
+_SIMPLE = re.compile(r"(?:[^\W_]|[ '’(]|[.,;:?!)](?= |$)|[-–/](?=[^\W_]))*$")
 _BARE = re.compile(r"(\S+)(\s+)(\d{1,3})(\s+)(\S+)")
 
 
@@ -108,7 +109,7 @@ class Model:
     """What the corpus taught: bounded tables only."""
 
     def __init__(self, words: dict[str, int], pairs: set[tuple[str, str]], heads: list[str], vectors: dict[str, np.ndarray]):
-        self.words, self.pairs, self.vectors = words, pairs, vectors
+        self.words, self.pairs, self.heads, self.vectors = words, pairs, heads, vectors
         self.by_strokes: dict[str, list[str]] = {}
         self.by_capitals: dict[str, list[str]] = {}
         for w in sorted(words, key=lambda w: -words[w]):
@@ -116,13 +117,13 @@ class Model:
                 for s in strokes(w):
                     self.by_strokes.setdefault(s, []).append(w)
                 self.by_capitals.setdefault(capital_strokes(w), []).append(w)
+        self.good = {w for w, n in words.items() if not any(words[c] > RARER * n for s in strokes(w) for c in self.by_strokes.get(s, ())[:4] if c != w)}
         parts = [re.escape(h).replace(r"\#", r"\d+").replace("#", r"\d+").replace("@", "[A-Z]").replace(r"\ ", r"\s+") for h in sorted(heads, key=len, reverse=True)]
         self.head = re.compile(r"(?<!\w)(?:" + "|".join(parts) + r")(?!\w)") if parts else None
 
     def known(self, word: str) -> bool:
         """Frequent, and not a misreading of something far more frequent."""
-        n = self.words.get(word, 0)
-        return n > 0 and not any(self.words[c] > RARER * n for s in strokes(word) for c in self.by_strokes.get(s, ())[:4] if c != word)
+        return word in self.good
 
     def fix(self, word: str, context: Sequence[str] = ()) -> str | None:
         """The frequent word with the same strokes that fits the context best."""
@@ -151,6 +152,8 @@ def _cased(new: str, old: str) -> str:
 def repair(text: str, m: Model, may_be_cut: bool = True) -> tuple[str, list[str]]:
     """Continuous text in paragraphs, and the kinds of scan noise it held. The
     last word of a text that may be cut off is not judged if no full stop follows."""
+    if _SIMPLE.match(text) and all(core(t).lower() in m.good or core(t).isdigit() for t in text.split(" ")) and not (m.head and m.head.search(text)) and not _INLINE.search(text) and not _SPACED.search(text):
+        return " ".join(text.split()), []
     found: list[str] = []
     text = plain(text).replace("\r\n", "\n").replace("\r", "\n")
     cut_off = may_be_cut and not _END.search(text)
@@ -297,7 +300,7 @@ def learn(df: DataFrame, fields: Sequence[str], train_vectors: bool = True) -> M
 def _vectors(docs: DataFrame, least: float) -> dict[str, np.ndarray]:
     from pyspark.ml.feature import Word2Vec
 
-    fitted = Word2Vec(vectorSize=DIM, minCount=math.ceil(least), maxIter=1, numPartitions=6, windowSize=4, seed=7, inputCol="tokens", outputCol="v").fit(docs)
+    fitted = Word2Vec(vectorSize=DIM, minCount=math.ceil(least), maxIter=1, numPartitions=6, windowSize=3, seed=7, inputCol="tokens", outputCol="v").fit(docs)
     got = {r["word"]: np.array(r["vector"].toArray(), dtype=np.float32) for r in fitted.getVectors().collect()}
     return {w: v / (np.linalg.norm(v) or 1.0) for w, v in got.items()}
 
@@ -307,12 +310,12 @@ def repair_fields(df: DataFrame, key: str, fields: Sequence[str], model: Model |
     is empty where the scan left no noise. Null and empty values give no row;
     repeated rows are kept; an empty table gives an empty result."""
     model = model or learn(df, fields)
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast((model.words, model.pairs, model.heads, model.vectors))
     out = T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("field_name", T.StringType()), T.StructField("kinds", T.ArrayType(T.StringType())), T.StructField("repaired", T.StringType())])
     schema = arrow_schema(out)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Model(*shared.value)
         for b in batches:
             done = [repair(v, m, f in may_be_cut) for f, v in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(schema[0].type), b.column(1).cast(pa.string()), pa.array([d[1] for d in done], schema[2].type), pa.array([d[0] for d in done], pa.string())], schema=schema)

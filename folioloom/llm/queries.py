@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import table
-from . import encodings, lookalikes, ocr, truncation
+from . import encodings, lookalikes, names, ocr, truncation
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.same_name_pairs(table(spark, sf_dir, "name_forms"))
+
+
+def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.resolve(table(spark, sf_dir, "name_forms"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,5 +49,5 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encodings.repair(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_rates, p6_found, p6_forms, p7_found, p7_repaired, p10_found, p10_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_classes, p5_found, p5_rates, p6_found, p6_forms, p7_found, p7_repaired, p10_found, p10_restored)}
 SQL: dict[str, str] = {}
