@@ -43,7 +43,7 @@ CAPITALS = {"0": "O", "D": "O", "Q": "O", "1": "I", "|": "I", "!": "I", "L": "I"
 _PUNCT = ".,;:?\"“”()[]{}’‘'…«»"
 _TOKEN = re.compile(r"[^ \t\n\r\f\x0b]+")
 _BREAK = re.compile(r"(?<![^\s(“\"])([^\s(“\"]*[^\W_])\s?([-¬])(\s+)([^\s]*[^\W_|!][^\s]*)|([^\s(“\"]*[^\W_])¬([^\s]+)")
-_SPACED = re.compile(r"(?<!\S)[^\W\d_](?: [^\W\d_]){2,}(?![^\W_])")
+_SPACED = re.compile(r"(?<!\S)[^\W\d_](?: [^\W\d_]){2,}(?=$|\s|[.,;:?!)])")
 _END = re.compile(r"[\w)\]”’\"'%°][.!?][\"”’)»\]]*\s*$")
 _NUMBER_LINE = re.compile(r"^\W*(?:[Pp](?:age|AGE|\.)?\s*)?\d{1,4}(?:\s*(?:of|OF)\s*\d{1,4})?\W*$")
 _INLINE = re.compile(r"(?:_{3,}[ \t]*\d{1,4}\b)|(?:(?<=\s)\[\d{1,4}\](?=\s|$))|(?:(?<=\s)[-–] ?\d{1,4} ?[-–](?=\s|$))|(?:(?<![(\w] )\b(?:Page|PAGE) \d{1,4}(?: (?:of|OF) \d{1,4})?\b)")
@@ -293,7 +293,7 @@ def learn(df: DataFrame, fields: Sequence[str], train_vectors: bool = True) -> M
     lexicon = {r["w"]: r["count"] for r in words.collect()}  # at most 1 / WORD_SHARE rows
     couple = F.transform(F.sequence(F.lit(1), F.size("tokens") - 1), lambda i: F.struct(F.element_at("tokens", i).alias("a"), F.element_at("tokens", i + 1).alias("b")))
     pairs = docs.filter(F.size("tokens") > 1).select(F.explode(couple).alias("p")).groupBy("p.a", "p.b").count().filter(F.col("count") >= max(LEAST, PAIR_SHARE * n_tokens))
-    heads = docs.select(F.explode("heads").alias("h")).groupBy("h").count().filter(F.col("count") >= max(LEAST, HEAD_SHARE * n_docs))
+    heads = docs.select(F.explode("heads").alias("h")).groupBy("h").count().filter(F.col("count") >= max(2, HEAD_SHARE * n_docs))
     return Model(lexicon, {(r["a"], r["b"]) for r in pairs.collect()}, [r["h"] for r in heads.collect()], _vectors(docs, max(LEAST, WORD_SHARE * n_tokens)) if train_vectors and lexicon else {})
 
 

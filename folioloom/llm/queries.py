@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import table
-from . import encodings, lookalikes, names, ocr, truncation
+from . import encodings, lookalikes, mixing, names, ocr, packing, tokens, truncation
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,33 @@ def p7_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ocr.repair_fields(table(spark, sf_dir, "records"), "ingest_pos", ["abstract", "title"]).filter("size(kinds) > 0")
 
 
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = tokens.with_tokens(table(spark, sf_dir, "documents"), ["doc_id"])
+    kinds = table(spark, sf_dir, "containers").filter("container is not null").orderBy("capacity_tokens", "container").collect()  # a handful of container kinds
+    return packing.pack(sizes, [(r["container"], r["capacity_tokens"]) for r in kinds])
+
+
+def p8_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packed(spark, sf_dir)
+
+
+def p8_fills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.fills(_packed(spark, sf_dir), table(spark, sf_dir, "containers"))
+
+
+def p8_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.summary(_packed(spark, sf_dir), table(spark, sf_dir, "containers"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "source_weights"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights = table(spark, sf_dir, "source_weights")
+    return mixing.shares(mixing.mix(table(spark, sf_dir, "documents"), weights), weights)
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encodings.garbled(table(spark, sf_dir, "documents")).select("doc_id").distinct()
 
@@ -49,5 +76,5 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encodings.repair(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_classes, p5_found, p5_rates, p6_found, p6_forms, p7_found, p7_repaired, p10_found, p10_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_classes, p5_found, p5_rates, p6_found, p6_forms, p7_found, p7_repaired, p8_assignment, p8_fills, p8_summary, p9_mix, p9_shares, p10_found, p10_restored)}
 SQL: dict[str, str] = {}
