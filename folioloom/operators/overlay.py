@@ -37,7 +37,7 @@ def last_before(events: DataFrame, keys: Sequence[str], order: str, value: str,
     inside = Window.partitionBy(*keys, "_slice").orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
     over = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = sliced.groupBy(*keys, "_slice").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_end")).withColumn("_before", F.last("_end", ignorenulls=True).over(over))
-    found = sliced.withColumn("_in", F.last(value, ignorenulls=True).over(inside)).join(carried.drop("_end"), [*keys, "_slice"])
+    found = sliced.withColumn("_in", F.last(value, ignorenulls=True).over(inside)).join(carried.drop("_end"), [*keys, "_slice"], "left")
     return found.withColumn(name, F.coalesce("_in", "_before")).drop("_slice", "_in", "_before")
 
 

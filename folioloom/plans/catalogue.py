@@ -1,6 +1,6 @@
 """All core queries and their SQL."""
 
-from . import curation
+from . import archive, curation
 
-QUERIES = {**curation.QUERIES}
-SQL = {**curation.SQL}
+QUERIES = {**archive.QUERIES, **curation.QUERIES}
+SQL = {**archive.SQL, **curation.SQL}
