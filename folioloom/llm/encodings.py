@@ -294,7 +294,7 @@ def repair(df: DataFrame, key: str = "doc_id", field: str = "text", source: str
 
         return text.combine(pairs, one)
 
-    return bad.join(df.select(key, field), key).select(key, "chain", "lost", put(field, "words").alias("restored"))
+    return bad.join(df.select(key, F.col(field).alias("_text")), key).select(key, "chain", "lost", put("_text", "words").alias("restored"))
 
 
 _EDGE = re.compile(r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$")
