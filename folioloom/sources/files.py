@@ -136,7 +136,7 @@ def read_concatenated(spark: SparkSession, path: str) -> DataFrame:
     file is read whole: use ``read_records`` where lines hold one object each."""
     import json
 
-    whole = spark.read.option("wholetext", "true").text(path)
+    whole = spark.read.text(path, wholetext=True)
     out = T.StructType([T.StructField("obj", T.StringType())])
     schema = arrow_schema(out)
 
@@ -160,7 +160,7 @@ def read_concatenated(spark: SparkSession, path: str) -> DataFrame:
 def read_changes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The change log with its line numbers, and the lines that are no JSON.
     Blank lines and lines that begin with # are comments."""
-    lines = spark.read.option("wholetext", "true").text(path).select(F.posexplode(F.split("value", "\n")).alias("at", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("at", "line"))
     said = lines.select((F.col("at") + 1).alias("line_no"), F.trim("line").alias("line")).filter("line <> '' and not startswith(line, '#')")
     parsed = said.withColumn("op", F.from_json("line", CHANGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
     good = parsed.filter("op._corrupt is null").select(F.col("line_no").cast("long").alias("line_no"), "op.*").drop("_corrupt")

@@ -13,6 +13,7 @@ from ..operators.changes import apply_changes
 def arriving(spark: SparkSession, folder: str, schema: StructType, late: str = "30 days", per_trigger: int = 16) -> DataFrame:
     """New files of change lines as a stream; a line repeated within the lateness allowed counts once."""
     lines = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(folder)
+    lines = lines.withColumn("received_at", F.col("received_at").cast("timestamp"))
     return lines.withWatermark("received_at", late).dropDuplicatesWithinWatermark(["op_seq"])
 
 
