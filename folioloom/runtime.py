@@ -6,11 +6,12 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Any Unicode white space, no-break space included (Java regex).
-WS = r"(?U)\s"
+from .functions.text import BLANK as WS
+from .functions.text import squeeze, strip
+
+__all__ = ["WS", "arrow_schema", "cut", "session", "squeeze", "strip", "table"]
 
 
 def session(cores: int = 8, partitions: int = 8) -> SparkSession:
@@ -45,16 +46,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def strip(c) -> F.Column:
-    """Python-like strip: any kind of white space at both ends."""
-    return F.regexp_replace(c, rf"^{WS}+|{WS}+$", "")
-
-
-def squeeze(c) -> F.Column:
-    """White-space runs become one space, ends are stripped."""
-    return strip(F.regexp_replace(c, rf"{WS}+", " "))
-
-
 def arrow_schema(schema: T.StructType):
     from pyspark.sql.pandas.types import to_arrow_schema
 
