@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import squeeze
+from ..runtime import cut, squeeze
 from .lookalikes import LIKE_FROM, LIKE_TO
 
 MARK = r"(?:\.\.\.|…|\[\s*(?:\.\.\.|…)\s*\])\s*$"
@@ -51,15 +51,20 @@ def _last(sentence: Column, n: int) -> Column:
 
 
 def endings(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
+    """What is needed of each value, worked out once: its lengths, how it ends, its
+    last fragment, and opener and last word of every terminated sentence."""
     text = squeeze(F.col(field))
-    sentences = F.split(text, SENTENCE)
-    base = df.select(F.col(key).alias("_id"), F.coalesce(F.col(source), F.lit("")).alias("_src"), F.col(field).alias("_raw"), text.alias("_text"), sentences.alias("_sent")).filter("_text <> ''")
+    base = df.select(F.col(key).alias("_id"), F.coalesce(F.col(source), F.lit("")).alias("_src"), F.col(field).alias("_raw"), text.alias("_text")).filter("_text <> ''")
+    base = base.withColumn("_sent", F.split("_text", SENTENCE)).withColumn("_terminal", F.col("_text").rlike(TERMINAL))
+    complete = F.when(F.col("_terminal"), F.col("_sent")).otherwise(F.slice("_sent", 1, F.greatest(F.size("_sent") - 1, F.lit(0))))
+    said = F.transform(complete, lambda s: F.struct(_opener(s).alias("open"), _last(s, 1).alias("last")))
+    # Only an unterminated value's last fragment is ever looked at.
+    loose = lambda c: F.when(~F.col("_terminal"), c)
     frag = F.element_at("_sent", -1)
-    return base.select(
-        "_id", "_src", "_sent", F.char_length("_raw").alias("_chars"), F.octet_length("_raw").alias("_bytes"),
-        F.col("_text").rlike(MARK).alias("_marked"), F.col("_text").rlike(TERMINAL).alias("_terminal"), frag.alias("_frag"),
-        (F.size(F.split(frag, " "))).alias("_words"), _opener(frag).alias("_open"), _last(frag, 1).alias("_last"), _last(frag, 2).alias("_last2"), F.lower("_text").alias("_whole"),
-    )
+    return cut(base.select(
+        "_id", "_src", said.alias("_said"), F.size("_sent").alias("_n_sent"), F.char_length("_raw").alias("_chars"), F.octet_length("_raw").alias("_bytes"), F.col("_text").rlike(MARK).alias("_marked"), "_terminal",
+        loose(frag).alias("_frag"), loose(F.size(F.split(frag, " "))).alias("_words"), loose(_opener(frag)).alias("_open"), loose(_last(frag, 1)).alias("_last"), loose(_last(frag, 2)).alias("_last2"), loose(F.when(F.size("_sent") == 1, F.lower("_text"))).alias("_whole"),
+    ))
 
 
 def spikes(ends: DataFrame) -> DataFrame:
@@ -81,8 +86,9 @@ def truncated(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     long texts are worked on whole. Empty tables give no rows.
     """
     ends = endings(df, key, field, source)
-    said = ends.select(F.explode(F.when(F.col("_terminal"), F.col("_sent")).otherwise(F.slice("_sent", 1, F.greatest(F.size("_sent") - 1, F.lit(0))))).alias("s"))
-    spoken = said.groupBy(_opener(F.col("s")).alias("_open")).agg(F.count("*").alias("t"))
+    said = ends.select(F.explode("_said").alias("s")).groupBy("s.open", "s.last").agg(F.count("*").alias("n"))
+    said = cut(said)
+    spoken = said.groupBy(F.col("open").alias("_open")).agg(F.sum("n").alias("t"))
     loose = ends.filter(~F.col("_terminal") & ~F.col("_marked"))
     closings = loose.filter((F.col("_words") >= 3) | F.col("_open").endswith(":")).groupBy("_open").agg(F.count("*").alias("u")).filter(F.col("u") >= CLOSING_LEAST)
     closings = closings.join(spoken, "_open", "left").filter(F.col("u") >= CLOSING_TIMES * F.coalesce("t", F.lit(0))).select("_open", "u")
@@ -94,10 +100,10 @@ def truncated(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     lists = ended.filter(F.col("_open").endswith(":") | F.col("_open").endswith("words:"))
     listed = F.filter(F.split("_frag", " "), lambda w: w.rlike("[,;]$"))
     before = ours.select(F.explode(F.transform(listed, lambda w: _glyphs(F.regexp_replace(w, "[,;]+$", "")))).alias("_last"))
-    finals = before.unionByName(said.select(_last(F.col("s"), 1).alias("_last"))).groupBy("_last").agg(F.count("*").alias("f")).filter(F.col("f") >= CLOSING_LEAST)
+    finals = before.withColumn("n", F.lit(1).cast("long")).unionByName(said.select(F.col("last").alias("_last"), "n")).groupBy("_last").agg(F.sum("n").alias("f")).filter(F.col("f") >= CLOSING_LEAST)
     stops = dominant.unionByName(lists.join(finals, "_last", "left_semi").select("_open", "_last")).distinct().withColumn("_full", F.lit(True))
     pairs = loose.join(closings, "_open", "left_semi").groupBy("_last2").agg(F.count("*").alias("p")).filter(F.col("p") >= CLOSING_LEAST).select("_last2", F.lit(True).alias("_full2"))
-    remarks = loose.filter((F.size("_sent") == 1) & (F.col("_words") <= 4)).groupBy("_whole").agg(F.count_distinct("_src").alias("r")).filter(F.col("r") >= CLOSING_LEAST).select("_whole", F.lit(True).alias("_remark"))
+    remarks = loose.filter((F.col("_n_sent") == 1) & (F.col("_words") <= 4)).groupBy("_whole").agg(F.count_distinct("_src").alias("r")).filter(F.col("r") >= CLOSING_LEAST).select("_whole", F.lit(True).alias("_remark"))
 
     peak = spikes(ends)
     at = lambda unit, col: peak.filter(F.col("unit") == unit).select("_src", F.col("length").alias(col), F.lit(True).alias(f"_at{col}"))
@@ -107,13 +113,13 @@ def truncated(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     )
     complete = F.coalesce(F.col("_full"), F.col("_remark"), F.col("_full2") & (F.col("_words") >= 4) & F.col("t").isNull(), F.lit(False))
     basis = F.when(F.coalesce("_at_chars", "_at_bytes", F.lit(False)), F.lit("limit")).otherwise(F.lit("transfer"))
-    cut = judged.filter(~complete).select(F.col("_id").alias(key), basis.alias("basis"))
-    return cut.unionByName(ends.filter("_marked").select(F.col("_id").alias(key), F.lit("marked").alias("basis")))
+    severed = judged.filter(~complete).select(F.col("_id").alias(key), basis.alias("basis"))
+    return severed.unionByName(ends.filter("_marked").select(F.col("_id").alias(key), F.lit("marked").alias("basis")))
 
 
 def truncation_rates(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     """``source, n_texts, n_cut, share_cut`` over all non-blank values of each source."""
-    cut = truncated(df, key, field, source).select(key, F.lit(1).alias("_cut")).distinct()
+    found = truncated(df, key, field, source).select(key, F.lit(1).alias("_cut")).distinct()
     texts = df.filter(squeeze(F.col(field)) != "").select(key, source)
-    counted = texts.join(cut, key, "left").groupBy(source).agg(F.count("*").alias("n_texts"), F.count("_cut").alias("n_cut"))
+    counted = texts.join(found, key, "left").groupBy(source).agg(F.count("*").alias("n_texts"), F.count("_cut").alias("n_cut"))
     return counted.withColumn("share_cut", F.round(F.col("n_cut") / F.col("n_texts"), 6))
