@@ -138,7 +138,7 @@ def plausible(token: str) -> bool:
         if c.isascii():
             if not c.isprintable():
                 return False
-        elif not (c.isalpha() or c in SIGNS or c in "� "):
+        elif not (c.isalpha() or c in SIGNS or c in "�\u00a0"):
             return False
     return not odd(token.replace("�", "e"))
 

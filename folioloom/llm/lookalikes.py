@@ -28,13 +28,13 @@ assert len(LIKE_FROM) == len(LIKE_TO)
 LIKE = {ord(a): b for a, b in zip(LIKE_FROM, LIKE_TO)}
 
 # Default-ignorable code points.
-IGNORABLE = "­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\U000e0000-\U000e0fff"
-SPACES = "   -   　"
-HYPHENS = "‐‑"
+IGNORABLE = "\u00ad͏\u061cᅟᅠ឴឵᠋-᠏\u200b-\u200f\u202a-\u202e\u2060-\u206fㅤ︀-️\ufeffﾠ\U000e0000-\U000e0fff"
+SPACES = "\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000"
+HYPHENS = "\u2010\u2011"
 
 _IGNORABLE = re.compile(f"[{IGNORABLE}]")
 _PLAIN_SIGN = re.compile(f"[{IGNORABLE}{SPACES}{HYPHENS}]")
-_RUN = re.compile(r"[^\W\d_]+(?:['’‑‐-][^\W\d_]+)*")
+_RUN = re.compile(r"[^\W\d_]+(?:['’\u2011\u2010-][^\W\d_]+)*")
 _HYPHEN = re.compile(f"[{HYPHENS}]")
 _WS = re.compile(r"\s+")
 _FOREIGN = re.compile(f"[{LIKE_FROM}]")

@@ -55,7 +55,7 @@ def plain(value: str) -> str:
     """Without the characters that only look like others; case and line ends stay."""
     if value.isascii():
         return value
-    value = unicodedata.normalize("NFKC", lookalikes._IGNORABLE.sub("", value).replace("¬", "")).replace("", "¬")
+    value = unicodedata.normalize("NFKC", lookalikes._IGNORABLE.sub("", value).replace("¬", "\ue000")).replace("\ue000", "¬")
     return lookalikes._RUN.sub(lookalikes._latin, lookalikes._HYPHEN.sub("-", value))
 
 

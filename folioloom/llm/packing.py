@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 
 from ..runtime import arrow_schema, cut
 
-#: Salts a size's documents are spread over while they are ranked.
-SALTS = 64
+#: A size's documents are spread over salts while they are ranked: one for so many documents, and at least LEAST_SALTS.
+SALT_ROWS, LEAST_SALTS = 1_000_000, 64
 #: Greatest capacity; bounds the histogram and the plan on the driver.
 MOST = 1 << 20
 
@@ -136,7 +136,9 @@ def pack(sizes: DataFrame, capacities: list[tuple[str, int]], key: str = "doc_id
     for name, c in capacities:
         one = pieces(sizes, key, c).withColumn("container", F.lit(name))
         items = one if items is None else items.unionByName(one)
-    items = cut(items.withColumn("salt", F.pmod(F.xxhash64(key, "part"), F.lit(SALTS)).cast("int")))
+    items = cut(items)
+    salts = max(LEAST_SALTS, items.count() // SALT_ROWS)
+    items = items.withColumn("salt", F.pmod(F.xxhash64(key, "part"), F.lit(salts)).cast("int"))
     hist = cut(items.filter("tokens > 0").groupBy("container", "tokens", "salt").agg(F.count("*").alias("n")))
     by_size = hist.groupBy("container", "tokens").agg(F.sum("n").alias("n")).collect()  # at most the sum of the capacities
     plans = {}

@@ -19,7 +19,7 @@ from ..runtime import cut, squeeze
 from .lookalikes import LIKE_FROM, LIKE_TO
 
 MARK = r"(?:\.\.\.|…|\[\s*(?:\.\.\.|…)\s*\])\s*$"
-TERMINAL = r"[\p{L}\p{N})\]”’\"'%°»][  ]?[.!?]+[\"”’'»)\]]*\s*$"
+TERMINAL = r"[\p{L}\p{N})\]”’\"'%°»][ \u00a0]?[.!?]+[\"”’'»)\]]*\s*$"
 SENTENCE = r"(?<=[\p{L}\p{N})\]”’\"'%°»][.!?])[\"”’'»)\]]*\s+"
 #: A length is a spike with at least so many values, so many times the mean of
 #: the lengths around it, and at most this share of the source beyond it.
