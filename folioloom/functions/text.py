@@ -22,8 +22,8 @@ LABEL_DIGITS = "0001111558226"
 LABEL_CLASS = "0-9OoQlI|iSsBZzb"
 
 # Substitutions of typographic characters, then characters that are dropped.
-TYPOGRAPHIC = {"ﬃ": "ffi", "ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "–": "-", "—": "--", "‘": "'", "’": "'", "“": '"', "”": '"', " ": " ", " ": " ", " ": " ", " ": " ", " ": " "}
-DROPPED = "­​‌‍﻿"
+TYPOGRAPHIC = {"ﬃ": "ffi", "ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "–": "-", "—": "--", "‘": "'", "’": "'", "“": '"', "”": '"', "\u00a0": " ", "\u202f": " ", "\u2009": " ", "\u200a": " ", "\u2007": " "}
+DROPPED = "\u00ad\u200b\u200c\u200d\ufeff"
 
 
 def strip(c) -> Column:

@@ -22,7 +22,7 @@ CASES = {
     "Ann Lee with Bo Kim & Cy Ode, and Di Poe": ["Ann Lee", "Bo Kim", "Cy Ode", "Di Poe"],
     "A Lee\r\nB Kim\tC Ode | D Poe / E Fry;;F Gil": ["A Lee", "B Kim", "C Ode", "D Poe", "E Fry", "F Gil"],
     "STRESS AND VISION LAB; Sandy Andrews": ["STRESS AND VISION LAB", "Sandy Andrews"],
-    " Ann Lee , Zoë Ødé": ["Ann Lee", "Zoë Ødé"],
+    "\u00a0Ann\u2007Lee\u00a0,\u00a0Zoë Ødé": ["Ann\u2007Lee", "Zoë Ødé"],
     'odd " quote, Bo Kim': ['odd " quote', "Bo Kim"],
     "𝐁𝐨 Kim, Ann Lee": ["𝐁𝐨 Kim", "Ann Lee"],
 }

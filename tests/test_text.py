@@ -64,7 +64,7 @@ def test_clean_abstract_is_stable(spark, sf):
 
 
 def test_plain_typography(spark):
-    assert one(spark, "ﬁ–—‘’“” x​𝐚é", text.plain_typography) == "fi---''\"\" xé"
+    assert one(spark, "ﬁ–—‘’“”\u00a0x\u200b\ue000𝐚é", text.plain_typography) == "fi---''\"\" xé"
 
 
 @pytest.mark.parametrize("raw, want", [("Presentation format: Talk x Poster", "talk"), ("Presentation type: Poster X", "poster"), ("text\nPOSTER\n", "poster"), ("nothing", None)])
