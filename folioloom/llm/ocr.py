@@ -43,7 +43,7 @@ CAPITALS = {"0": "O", "D": "O", "Q": "O", "1": "I", "|": "I", "!": "I", "L": "I"
 _PUNCT = ".,;:?\"“”()[]{}’‘'…«»"
 _TOKEN = re.compile(r"[^ \t\n\r\f\x0b]+")
 _BREAK = re.compile(r"(?<![^\s(“\"])([^\s(“\"]*[^\W_])\s?([-¬])(\s+)([^\s]*[^\W_|!][^\s]*)|([^\s(“\"]*[^\W_])¬([^\s]+)")
-_SPACED = re.compile(r"(?<!\S)[^\W\d_](?: [^\W\d_]){2,}(?=$|\s|[.,;:?!)])")
+_SPACED = re.compile(r"(?<!\S)(?:[^\W\d_]+-)?[^\W\d_](?: [^\W\d_]){2,}(?:-[^\W\d_]+)?(?=$|\s|[.,;:?!)])")
 _END = re.compile(r"[\w)\]”’\"'%°][.!?][\"”’)»\]]*\s*$")
 _NUMBER_LINE = re.compile(r"^\W*(?:[Pp](?:age|AGE|\.)?\s*)?\d{1,4}(?:\s*(?:of|OF)\s*\d{1,4})?\W*$")
 _INLINE = re.compile(r"(?:_{3,}[ \t]*\d{1,4}\b)|(?:(?<=\s)\[\d{1,4}\](?=\s|$))|(?:(?<=\s)[-–] ?\d{1,4} ?[-–](?=\s|$))|(?:(?<![(\w] )\b(?:Page|PAGE) \d{1,4}(?: (?:of|OF) \d{1,4})?\b)")
@@ -61,9 +61,8 @@ def plain(value: str) -> str:
 
 def strokes(word: str) -> set[str]:
     word = word.lower()
-    if "6" not in word:
-        return {"".join(STROKES.get(c, c) for c in word)}
-    return {"".join(STROKES.get(c, six if c == "6" else c) for c in word) for six in _SIX}
+    # Two n are also read as r and m.
+    return {"".join(STROKES.get(c, six if c == "6" else c) for c in word).replace("nn", "rrn") for six in (_SIX if "6" in word else _SIX[:1])}
 
 
 def capital_strokes(word: str) -> str:
@@ -95,9 +94,9 @@ def tokens_of(text: str) -> list[str]:
 
 
 def head_of(line: str) -> str:
-    """A line's template if it could be a running head, else ''."""
+    """A line's template if it could be a running head with its number, else ''."""
     line = " ".join(line.split())
-    if not 4 <= len(line) <= 60 or line[-1] in ".!?,;:":
+    if not re.search(r"\d", line) or not 4 <= len(line) <= 60 or line[-1] in ".!?,;:":
         return ""
     words = re.findall(r"[^\W\d_]+", line)
     if not any(len(w) >= 4 for w in words) or any(len(w) >= 4 and not w[0].isupper() for w in words):
@@ -183,7 +182,7 @@ def repair(text: str, m: Model, may_be_cut: bool = True) -> tuple[str, list[str]
 
     def whole(word: str) -> str | None:
         low = core(word).lower()
-        if m.known(low):
+        if m.known(low) or m.known(low.rstrip("!")):
             return word
         good = m.fix(core(word)) if low else None
         return word.replace(core(word), _cased(good, core(word))) if good else None
@@ -219,10 +218,13 @@ def repair(text: str, m: Model, may_be_cut: bool = True) -> tuple[str, list[str]
         text = again
 
     def spaced(x: re.Match) -> str:
-        got = whole(x[0].replace(" ", ""))
-        if got:
-            found.append("spaced")
-            return got
+        bits = x[0].split(" ")
+        # A one-letter word may stand right before or after a spaced-out one.
+        for lo, hi in ((0, len(bits)), (0, len(bits) - 1), (1, len(bits))):
+            got = whole("".join(bits[lo:hi]))
+            if got and hi - lo > 2:
+                found.append("spaced")
+                return " ".join([*bits[:lo], got, *bits[hi:]])
         return x[0]
 
     text = _SPACED.sub(spaced, text)
@@ -283,7 +285,7 @@ def learn(df: DataFrame, fields: Sequence[str], train_vectors: bool = True) -> M
                 p = plain(v)
                 toks.append(tokens_of(p))
                 lines = re.split(r"[\n\r\f]+", p)
-                heads.append([h for h in map(head_of, lines) if h] if len(lines) > 1 else [])
+                heads.append([h for h in map(head_of, lines) if h] if len(lines) > 2 else [])
             yield pa.RecordBatch.from_arrays([pa.array(toks, schema[0].type), pa.array(heads, schema[1].type)], schema=schema)
 
     docs = cut(_long(df, fields[0], fields).select("value").mapInArrow(read, out))

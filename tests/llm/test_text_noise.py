@@ -81,9 +81,9 @@ def model(spark):
 
 @pytest.mark.parametrize("text, kinds, fixed", [
     (CLEAN, [], CLEAN), ("Recog-\nnition memory in pigeons.", ["broken"], "Recognition memory in pigeons."), ("Recog- nition memory.", ["broken"], "Recognition memory."), ("Recog¬\nnition memory.", ["broken"], "Recognition memory."),
-    ("Recog -\nnition memory.", ["broken"], "Recognition memory."), ("R e c o g n i t i o n memory.", ["spaced"], "Recognition memory."), ("Rec0gnitlon rnemory in pigeon5.", ["misread"], "Recognition memory in pigeons."), ("RECOGNITION MEIVIORY.", ["misread"], "RECOGNITION MEMORY."),
+    ("Recog -\nnition memory.", ["broken"], "Recognition memory."), ("R e c o g n i t i o n memory.", ["spaced"], "Recognition memory."), ("D u r i n g a training session.", ["spaced"], "During a training session."), ("Rec0gnitlon rnemory in pigeon5.", ["misread"], "Recognition memory in pigeons."), ("RECOGNITION MEIVIORY.", ["misread"], "RECOGNITION MEMORY."),
     ("memory in\n\n- 12 -\n\npigeons.", ["furniture"], "memory in\n\npigeons."), ("memory in Annual Research Meeting 77 pigeons.", ["furniture"], "memory in pigeons."), ("memory in pigeons ____ 16", ["furniture"], "memory in pigeons"),
-    ("memory in\npigeons was examined.", [], "memory in pigeons was examined."), ("memory during training (see page 24 of it).", [], "memory during training (see page 24 of it)."),
+    ("A Recognition\nMemory Meeting", [], "A Recognition Memory Meeting"), ("memory in\npigeons was examined.", [], "memory in pigeons was examined."), ("memory during training (see page 24 of it).", [], "memory during training (see page 24 of it)."),
 ])
 def test_repairs(model, text, kinds, fixed):
     assert ocr.repair(text, model) == (fixed, kinds)
