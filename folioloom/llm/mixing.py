@@ -62,8 +62,10 @@ def fit_domains(docs: DataFrame, domains: list[str], text: str = "text", source:
     for r in sample.select(text, source).mapInArrow(count, out).groupBy("d", "b").agg(F.sum("n").alias("n")).collect():  # at most (domains + 1) x buckets
         table[r["d"], r["b"]] = r["n"]
     words = table[:, :BUCKETS] + 0.5
-    prior = table[:, BUCKETS] + 0.5
-    return np.log(words / words.sum(axis=1, keepdims=True)), np.log(prior / prior.sum())
+    # A domain without a labelled row is nobody's.
+    prior = table[:, BUCKETS] if table[:, BUCKETS].any() else np.eye(len(table))[-1]
+    with np.errstate(divide="ignore"):
+        return np.log(words / words.sum(axis=1, keepdims=True)), np.log(prior / prior.sum())
 
 
 def posterior(text: str, log_words: np.ndarray, log_prior: np.ndarray) -> np.ndarray:
@@ -156,8 +158,9 @@ def mix(docs: DataFrame, weights: DataFrame, total_tokens: float | None = None,
     u = F.pmod(F.xxhash64(F.lit("mix"), key), F.lit(1 << 30)) / float(1 << 30)
     mixed = cut(memberships(docs, domains, cap, *model, key=key, text=text, source=source, path=path).withColumn("u", u).filter("limit > 0 and tokens > 0"))
 
-    room = _sums(mixed, k, lambda t, m, limit, u: (t * limit,))[0]
-    weight = np.where(room > 0.5, share, 0.0)
+    room, own = _sums(mixed, k, lambda t, m, limit, u: (t * limit, t * limit * (m.max(axis=1) == 1.0)))
+    # Only a source with documents of its own has a target.
+    weight = np.where(own > 0.5, share, 0.0)
     weight = weight / weight.sum() if weight.sum() else weight
     reach = min((room[i] / weight[i] for i in range(k) if weight[i] > 0), default=0.0)
     goal = weight * (reach if total_tokens is None else total_tokens)

@@ -99,6 +99,13 @@ def test_shares_are_met_under_the_limits(spark):
     assert soft and all(max(b, key=b.get) == "s0" for b in soft)
 
 
+def test_rows_without_a_source_give_none_to_an_empty_one(spark):
+    docs = spark.createDataFrame([(i, f"{'ab'[i % 2]} word here", None if i % 3 else f"s{i % 2}") for i in range(900)], "doc_id long, text string, source string")
+    weights = spark.createDataFrame([("s0", 0.5, 1, ""), ("s1", 0.4, 1, ""), ("none", 0.1, 1, "")], WEIGHTS)
+    m = mixing.mix(docs, weights)
+    assert m.count() > 600 and m.filter("map_contains_key(belongs, 'none')").count() == 0
+
+
 def test_held_out_accuracy(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string, source string")
     model = mixing.fit_domains(docs.filter("doc_id % 4 <> 0"), ["s0", "s1", "s2"])
