@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import abstracts, authors, text
 from ..operators import analytics, bibliography, breakpoints, diagnosis, entries, overlay, segments, sheet
-from ..runtime import cut, table
+from ..runtime import cut, spread, table
 from ..streaming import log as stream
 from . import sqltext as S
 
@@ -30,6 +30,15 @@ def records(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "records")
 
 
+def texts(spark: SparkSession, d: str) -> DataFrame:
+    """Records for work on their texts."""
+    return spread(records(spark, d))
+
+
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "documents"))
+
+
 def current(spark: SparkSession, d: str) -> DataFrame:
     """The newest row of each key."""
     r = records(spark, d)
@@ -43,28 +52,28 @@ KEYED_SHEET = f"(SELECT * FROM (SELECT * REPLACE ({S.strip("coalesce(entry_id, '
 # ---- text ----
 @query(f"""SELECT ingest_pos, {S.squeeze('title')} AS title, {S.squeeze('authors_raw')} AS authors, {S.tidy_spaces('abstract')} AS spaces, {S.strip(S.sub('abstract', '[ ' + chr(9) + ']+', ' '))} AS tabs, {S.sub('title', r'[{}\\]')} AS unbraced FROM records""")
 def text_spaces(spark, d):
-    return records(spark, d).select("ingest_pos", text.squeeze("title").alias("title"), text.squeeze("authors_raw").alias("authors"), text.tidy_spaces("abstract").alias("spaces"), text.tidy_tabs("abstract").alias("tabs"), text.unbrace("title").alias("unbraced"))
+    return texts(spark, d).select("ingest_pos", text.squeeze("title").alias("title"), text.squeeze("authors_raw").alias("authors"), text.tidy_spaces("abstract").alias("spaces"), text.tidy_tabs("abstract").alias("tabs"), text.unbrace("title").alias("unbraced"))
 
 
 @query(f"SELECT ingest_pos, {S.tidy_block('abstract')} AS block FROM records")
 def text_blocks(spark, d):
-    return records(spark, d).select("ingest_pos", text.tidy_block("abstract").alias("block"))
+    return texts(spark, d).select("ingest_pos", text.tidy_block("abstract").alias("block"))
 
 
 @query(f"SELECT ingest_pos, {S.ascii_only('authors_raw')} AS authors, nfc_normalize(abstract) AS composed FROM records")
 def text_ascii(spark, d):
-    return records(spark, d).select("ingest_pos", text.ascii_only("authors_raw").alias("authors"), text.nfc("abstract").alias("composed"))
+    return texts(spark, d).select("ingest_pos", text.ascii_only("authors_raw").alias("authors"), text.nfc("abstract").alias("composed"))
 
 
 @query()
 def text_plain_typography(spark, d):
-    return records(spark, d).select("ingest_pos", text.plain_typography("abstract").alias("abstract"))
+    return texts(spark, d).select("ingest_pos", text.plain_typography("abstract").alias("abstract"))
 
 
 @query(f"""SELECT ingest_pos, ls.i - 1 AS line_no, ls.line AS line, {S.garbage('ls.line')} AS garbage FROM (
   SELECT ingest_pos, unnest(list_zip(range(1, len(l) + 1), l)) AS z FROM (SELECT ingest_pos, regexp_split_to_array(abstract, '\\r\\n|[\\n\\r]') AS l FROM records)) u, LATERAL (SELECT z[1] AS i, z[2] AS line) ls""")
 def garbage_lines(spark, d):
-    return segments.lines(records(spark, d), "ingest_pos", "abstract").withColumn("garbage", text.is_garbage_line(F.col("line")))
+    return segments.lines(texts(spark, d), "ingest_pos", "abstract").withColumn("garbage", text.is_garbage_line(F.col("line")))
 
 
 _LABELLED = "(SELECT ingest_pos, entry_id, translate(translate(entry_id, '01', 'OI'), '58', 'SB') AS seen FROM records)"
@@ -83,7 +92,7 @@ def word_counts(spark, d):
 
 @query()
 def clean_abstracts(spark, d):
-    return records(spark, d).select("ingest_pos", abstracts.clean_abstract(F.col("abstract")).alias("abstract"))
+    return texts(spark, d).select("ingest_pos", abstracts.clean_abstract(F.col("abstract")).alias("abstract"))
 
 
 # ---- segmentation and parsing ----
@@ -93,7 +102,7 @@ _SLOT = r"(?im)^\d{1,2}:\d{2}[ \t]+((?:HP|SS|[TP])\d+)[ \t]+"
 @query(f"""SELECT doc_id, i AS block_pos, upper(labels[i]) AS label, {S.tidy_block('pieces[i + 1]')} AS block FROM (
   SELECT doc_id, labels, pieces, unnest(range(1, len(labels) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, {S.q(_SLOT)}, 1) AS labels, regexp_split_to_array(text, {S.q(_SLOT)}) AS pieces FROM documents) WHERE len(labels) > 0)""")
 def segment_blocks(spark, d):
-    return segments.blocks(table(spark, d, "documents"), "doc_id", "text", "slot")
+    return segments.blocks(documents(spark, d), "doc_id", "text", "slot")
 
 
 _SECOND = S.strip("coalesce((regexp_split_to_array(block, '\\n\\s*\\n'))[2], '')")
@@ -107,7 +116,7 @@ def best_blocks(spark, d):
 
 @query(f"SELECT doc_id, source, text FROM documents QUALIFY row_number() OVER (PARTITION BY lower({S.sub('text', r'[^\p{L}\p{N}_]+')}) ORDER BY doc_id) = 1")
 def first_copies(spark, d):
-    return segments.first_of(table(spark, d, "documents").select("doc_id", "source", "text"), F.lower(F.regexp_replace("text", r"[^\p{L}\p{N}_]+", "")), ["doc_id"])
+    return segments.first_of(documents(spark, d).select("doc_id", "source", "text"), F.lower(F.regexp_replace("text", r"[^\p{L}\p{N}_]+", "")), ["doc_id"])
 
 
 _HEADING = r"^(?:SESSION .*|Background|Method|Results|Conclusion)$"
@@ -117,23 +126,23 @@ _HEADING = r"^(?:SESSION .*|Background|Method|Results|Conclusion)$"
   SELECT doc_id, z[1] - 1 AS line_no, CASE WHEN regexp_matches(z[2], {S.q(_HEADING)}) THEN z[2] END AS h FROM (
     SELECT doc_id, unnest(list_zip(range(1, len(l) + 1), l)) AS z FROM (SELECT doc_id, regexp_split_to_array(text, '\\r\\n|[\\n\\r]') AS l FROM documents)))""")
 def lines_by_heading(spark, d):
-    rows = segments.lines(table(spark, d, "documents"), "doc_id", "text")
+    rows = segments.lines(documents(spark, d), "doc_id", "text")
     return segments.fill_down(rows, "doc_id", "line_no", F.when(F.col("line").rlike(_HEADING), F.col("line")), "heading").select("doc_id", "line_no", "heading")
 
 
 @query()
 def parse_abstracts(spark, d):
-    return entries.parse_blocks(table(spark, d, "documents").filter("section is null or section <> 'business'"), "doc_id", "text")
+    return entries.parse_blocks(documents(spark, d).filter("section is null or section <> 'business'"), "doc_id", "text")
 
 
 @query()
 def parse_documents(spark, d):
-    return entries.parse_documents(table(spark, d, "documents"), "doc_id", "year", "text")
+    return entries.parse_documents(documents(spark, d), "doc_id", "year", "text")
 
 
 @query()
 def parse_schedules(spark, d):
-    return entries.parse_documents(table(spark, d, "documents"), "doc_id", "year", "text", entries.by_time)
+    return entries.parse_documents(documents(spark, d), "doc_id", "year", "text", entries.by_time)
 
 
 # ---- diagnosis ----
@@ -155,12 +164,12 @@ FINDINGS = " UNION ALL ".join([
 
 @query(FINDINGS)
 def diagnose_findings(spark, d):
-    return diagnosis.findings(records(spark, d), ["ingest_pos", "year"]).drop("evidence")
+    return diagnosis.findings(texts(spark, d), ["ingest_pos", "year"]).drop("evidence")
 
 
 @query()
 def diagnose_evidence(spark, d):
-    return diagnosis.findings(records(spark, d), ["ingest_pos", "year"])
+    return diagnosis.findings(texts(spark, d), ["ingest_pos", "year"])
 
 
 @query(f"""WITH f AS ({FINDINGS}), g AS (SELECT tag, year, count(*) AS n_group FROM f GROUP BY ALL)
@@ -176,7 +185,7 @@ REVIEW = f"""SELECT ingest_pos, year, entry_id, count(*) AS n_tags, string_agg(D
 
 @query(REVIEW)
 def review_queue(spark, d):
-    return diagnosis.review_queue(records(spark, d), ["ingest_pos", "year", "entry_id"])
+    return diagnosis.review_queue(texts(spark, d), ["ingest_pos", "year", "entry_id"])
 
 
 @query(f"SELECT tag, count(*) AS n FROM (SELECT unnest(string_split(tags, ', ')) AS tag FROM ({REVIEW})) GROUP BY tag")
@@ -186,7 +195,7 @@ def review_histogram(spark, d):
 
 @query(f"SELECT count(*) AS n, count(f.ingest_pos) AS n_flagged, round(100.0 * count(f.ingest_pos) / count(*), 1) AS pct_flagged FROM records LEFT JOIN (SELECT DISTINCT ingest_pos FROM ({FINDINGS})) f USING (ingest_pos)")
 def share_flagged(spark, d):
-    return diagnosis.share_flagged(records(spark, d))
+    return diagnosis.share_flagged(texts(spark, d))
 
 
 @query("""SELECT count(*) AS total, count(*) FILTER (trim(coalesce(abstract, '')) <> '') AS with_abstract, count(*) FILTER (trim(coalesce(abstract, '')) = '') AS no_abstract, count(*) FILTER (trim(coalesce(title, '')) = '') AS no_title,
@@ -221,7 +230,7 @@ NAMED = f"(SELECT ingest_pos, year, entry_id, title, abstract, presentation_type
 @query(f"SELECT ingest_pos, len(names) AS n, author FROM {NAMED}")
 def names_bibtex(spark, d):
     raw = text.squeeze("authors_raw")
-    return records(spark, d).select("ingest_pos", F.size(authors.split_names(raw)).alias("n"), authors.author_field(raw).alias("author"))
+    return texts(spark, d).select("ingest_pos", F.size(authors.split_names(raw)).alias("n"), authors.author_field(raw).alias("author"))
 
 
 KEYS = f"""(SELECT ingest_pos, year, entry_id, base || CASE WHEN n = 0 THEN '' WHEN n <= 26 THEN chr(CAST(96 + n AS INTEGER)) ELSE chr(CAST(97 + (n - 27) // 26 AS INTEGER)) || chr(CAST(97 + (n - 27) % 26 AS INTEGER)) END AS citekey FROM (
@@ -233,7 +242,7 @@ KEYS = f"""(SELECT ingest_pos, year, entry_id, base || CASE WHEN n = 0 THEN '' W
 
 @query(f"SELECT * FROM {KEYS}")
 def citekeys(spark, d):
-    return bibliography.citekeys(records(spark, d))
+    return bibliography.citekeys(texts(spark, d))
 
 
 def _bib(name: str, value: str) -> str:
@@ -248,13 +257,13 @@ _NOTE = f"""array_to_string(list_filter([CASE WHEN presentation_type <> 'talk' T
 @query(f"""SELECT ingest_pos, year, entry_id, citekey, '@inproceedings{{' || citekey || ',' || chr(10) || {_bib('title', S.squeeze('title'))} || {_bib('author', 'author')} || {_bib('booktitle', 'b.booktitle')} || {_bib('year', 'CAST(year AS VARCHAR)')} || {_bib('abstract', S.squeeze('abstract'))} || {_bib('note', _NOTE)} || '}}' || chr(10) AS entry
 FROM {NAMED} JOIN {KEYS} k USING (ingest_pos, year, entry_id) JOIN booktitles b USING (year)""")
 def bib_entries(spark, d):
-    r = records(spark, d)
+    r = texts(spark, d)
     return bibliography.entries(r, table(spark, d, "booktitles"), bibliography.citekeys(r), clean=False)
 
 
 @query()
 def review_bib(spark, d):
-    r = records(spark, d)
+    r = texts(spark, d)
     return bibliography.review_text(bibliography.entries(r, table(spark, d, "booktitles"), bibliography.citekeys(r)), review_queue(spark, d))
 
 
@@ -435,7 +444,7 @@ MENTIONS = f"""mentioned AS (SELECT * FROM (SELECT ingest_pos, year, z[1] - 1 AS
 
 
 def _mentions(spark, d) -> DataFrame:
-    return analytics.mentions(records(spark, d))
+    return analytics.mentions(texts(spark, d))
 
 
 @query(f"WITH {MENTIONS} SELECT * FROM m")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from .functions.text import BLANK as WS
 from .functions.text import squeeze, strip
 
-__all__ = ["WS", "arrow_schema", "cut", "session", "squeeze", "strip", "table"]
+__all__ = ["WS", "arrow_schema", "cut", "session", "spread", "squeeze", "strip", "table"]
 
 
 def session(cores: int = 8, partitions: int = 8) -> SparkSession:
@@ -32,6 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores, where the files are too few for them; else as they are read.
+
+    A table of one small file is one task, however dear the work on its rows.
+    Inputs of at least as many splits as cores, as at scale, are left alone.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
 
