@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import subprocess
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -30,12 +29,10 @@ LOW_TEXT = 2000
 
 # ---- decoders: content of a file to text; others can be registered ----
 def _external(*command: str) -> Callable[[bytes], str]:
+    """A tool that reads the file from its standard input."""
+
     def run(content: bytes) -> str:
-        # The tool reads a scratch file of this task only; nothing is shared through it.
-        with tempfile.NamedTemporaryFile() as f:
-            f.write(content)
-            f.flush()
-            return subprocess.run([a.replace("{}", f.name) for a in command], capture_output=True, check=True, timeout=300).stdout.decode("utf-8", "replace")
+        return subprocess.run(command, input=content, capture_output=True, check=True, timeout=300).stdout.decode("utf-8", "replace")
 
     return run
 
@@ -63,8 +60,8 @@ DECODERS: dict[str, Callable[[bytes], str]] = {
     "txt": lambda content: content.decode("utf-8", "replace"),
     "docx": _docx,
     "rtf": _rtf,
-    "pdf": _external("pdftotext", "-layout", "{}", "-"),
-    "doc": _external("antiword", "{}"),
+    "pdf": _external("pdftotext", "-layout", "-", "-"),
+    "doc": _external("antiword", "-"),
 }
 
 

@@ -175,6 +175,12 @@ def test_sources(spark, tmp_path):
     assert files.source_links(found, "s/").first()["link"] == "s/Program%201990.rtf"
 
 
+def test_external_decoders_read_standard_input(spark):
+    assert files._external("cat")("é".encode()) == "é"
+    df = spark.createDataFrame([(1990, "x.pdf", "pdf", bytearray(b"no pdf"))], "year int, name string, suffix string, content binary")
+    assert files.decode(df).first()["text"] is None and files.decode(df).first()["failed"]
+
+
 def test_readers(spark, tmp_path):
     (tmp_path / "r.json").write_text('{"year": 1990, "entry_id": "T1"}\n  {"year":\n1991, "qa_flags": ["x"]}{"year": 1992}')
     assert sorted(r["year"] for r in files.read_concatenated(spark, str(tmp_path / "r.json")).collect()) == [1990, 1991, 1992]
