@@ -271,7 +271,7 @@ def garbled(df: DataFrame, key: str = "doc_id", field: str = "text", source: str
     """``key, chain, words, lost``: each affected record with its most frequent
     chain, the map from garbled to restored word, and how many words are past
     restoring. Null and empty texts are never affected; copies are judged
-    alike; a null source is a stratum of its own."""
+    alike; a null source is a stratum of its own. An empty table gives no rows."""
     found = words(df, key, field, source)
     bad = verdicts(fit(found))
     hits = found.join(bad, ["source", "word"])
