@@ -62,6 +62,7 @@ CLEAN, LOST = "clean", "lost"
 SIGNS = "“”‘’‚„–—…«»‹›°±×÷µ§£€¥¢¼½¾¿¡²³¹·©®™ºª†‡•‰"
 TOKEN = r"[^ \t\n\r\x{000B}\f]+"
 _WORD = re.compile(r"[^\W\d_]+")
+_CONTROL = re.compile("[\x80-\x9f]")
 
 
 def _tables() -> tuple[dict[str, dict[str, int]], dict[str, list[str]]]:
@@ -160,6 +161,9 @@ def candidates(token: str) -> list[tuple[str, str, float, float]]:
         utf = steps[0][0] == "utf-8"
         damaged = back.count("�")
         found.append((chain, back, (3.0 if "twice" in chain else 1.0) if utf and not damaged else 0.5 if strange else 0.02, utf, damaged))
+    if not found and _CONTROL.search(token):
+        # Controls of this range are no text; a word garbled in part has no inverse as a whole.
+        return [(CLEAN, token, 0.0, -30.0), (LOST, "", 1.0, 0.0)]
     strict = any(f[3] and not f[4] for f in found)
     clean, log_clean = (0.01, -12.0) if strict else (0.05, -8.0) if strange and found else (1.0, 0.0)
     total = clean + sum(f[2] for f in found)
