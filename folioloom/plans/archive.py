@@ -132,7 +132,7 @@ def lines_by_heading(spark, d):
 
 @query()
 def parse_abstracts(spark, d):
-    return entries.parse_blocks(documents(spark, d).filter("section is null or section <> 'business'"), "doc_id", "text")
+    return entries.parse_blocks(documents(spark, d), "doc_id", "text")
 
 
 @query()

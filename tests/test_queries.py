@@ -46,3 +46,10 @@ def test_others_run(spark, sf, name):
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+def test_parse_abstracts_reads_every_section(spark, tmp_path):
+    rows = [(1, "Noise\n\nA. Smith\n\nWe tested birds.", "business"), (2, "Noise\n\nA. Smith\n\nWe tested birds.", None), (3, None, "abstracts")]
+    spark.createDataFrame(rows, "doc_id long, text string, section string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["title"] for r in entry_point.queries()["parse_abstracts"](spark, str(tmp_path)).collect()}
+    assert sorted(got) == [1, 2, 3] and got[1] == got[2] == "Noise"
