@@ -24,7 +24,7 @@ SENTENCE = r"(?<=[\p{L}\p{N})\]”’\"'%°»][.!?])[\"”’'»)\]]*\s+"
 #: A length is a spike with at least so many values, so many times the mean of
 #: the lengths around it, and at most this share of the source beyond it.
 SPIKE_LEAST, SPIKE_TIMES, SPIKE_BEYOND, AROUND = 5, 5.0, 0.05, 25
-#: A closing needs so many unterminated endings, and so many times more of them than terminated sentences.
+#: A closing needs so many unterminated endings of distinct texts, and so many times more of them than terminated sentences.
 CLOSING_LEAST, CLOSING_TIMES = 3, 4
 #: A word that ends at least this share of an opener's closings is a complete ending of it.
 STOP_SHARE = 0.1
@@ -62,7 +62,7 @@ def endings(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     loose = lambda c: F.when(~F.col("_terminal"), c)
     frag = F.element_at("_sent", -1)
     return cut(base.select(
-        "_id", "_src", said.alias("_said"), F.size("_sent").alias("_n_sent"), F.char_length("_raw").alias("_chars"), F.octet_length("_raw").alias("_bytes"), F.col("_text").rlike(MARK).alias("_marked"), "_terminal",
+        "_id", "_src", F.md5("_text").alias("_hash"), said.alias("_said"), F.size("_sent").alias("_n_sent"), F.char_length("_raw").alias("_chars"), F.octet_length("_raw").alias("_bytes"), F.col("_text").rlike(MARK).alias("_marked"), "_terminal",
         loose(frag).alias("_frag"), loose(F.size(F.split(frag, " "))).alias("_words"), loose(_opener(frag)).alias("_open"), loose(_last(frag, 1)).alias("_last"), loose(_last(frag, 2)).alias("_last2"), loose(F.when(F.size("_sent") == 1, F.lower("_text"))).alias("_whole"),
     ))
 
@@ -86,15 +86,18 @@ def truncated(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     long texts are worked on whole. Empty tables give no rows.
     """
     ends = endings(df, key, field, source)
-    said = ends.select(F.explode("_said").alias("s")).groupBy("s.open", "s.last").agg(F.count("*").alias("n"))
+    # Exact copies are one witness: closings are learned from distinct texts, then every row is judged.
+    texts = ends.dropDuplicates(["_hash"])
+    said = texts.select(F.explode("_said").alias("s")).groupBy("s.open", "s.last").agg(F.count("*").alias("n"))
     said = cut(said)
     spoken = said.groupBy(F.col("open").alias("_open")).agg(F.sum("n").alias("t"))
     loose = ends.filter(~F.col("_terminal") & ~F.col("_marked"))
-    closings = loose.filter((F.col("_words") >= 3) | F.col("_open").endswith(":")).groupBy("_open").agg(F.count("*").alias("u")).filter(F.col("u") >= CLOSING_LEAST)
+    once = cut(texts.filter(~F.col("_terminal") & ~F.col("_marked")).drop("_said"))
+    closings = once.filter((F.col("_words") >= 3) | F.col("_open").endswith(":")).groupBy("_open").agg(F.count("*").alias("u")).filter(F.col("u") >= CLOSING_LEAST)
     closings = closings.join(spoken, "_open", "left").filter(F.col("u") >= CLOSING_TIMES * F.coalesce("t", F.lit(0))).select("_open", "u")
     # The word that ends most of an opener's closings; in lists ("Keywords: a, b") also
     # words that end other sentences or come before a comma of such a list.
-    ours = loose.join(closings, "_open")
+    ours = once.join(closings, "_open")
     ended = ours.groupBy("_open", "_last").agg(F.count("*").alias("s"), F.max("u").alias("u"))
     dominant = ended.filter((F.col("s") >= 2) & (F.col("s") >= STOP_SHARE * F.col("u"))).select("_open", "_last")
     lists = ended.filter(F.col("_open").endswith(":") | F.col("_open").endswith("words:"))
@@ -102,7 +105,7 @@ def truncated(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     before = ours.select(F.explode(F.transform(listed, lambda w: _glyphs(F.regexp_replace(w, "[,;]+$", "")))).alias("_last"))
     finals = before.withColumn("n", F.lit(1).cast("long")).unionByName(said.select(F.col("last").alias("_last"), "n")).groupBy("_last").agg(F.sum("n").alias("f")).filter(F.col("f") >= CLOSING_LEAST)
     stops = dominant.unionByName(lists.join(finals, "_last", "left_semi").select("_open", "_last")).distinct().withColumn("_full", F.lit(True))
-    pairs = loose.join(closings, "_open", "left_semi").groupBy("_last2").agg(F.count("*").alias("p")).filter(F.col("p") >= CLOSING_LEAST).select("_last2", F.lit(True).alias("_full2"))
+    pairs = once.join(closings, "_open", "left_semi").groupBy("_last2").agg(F.count("*").alias("p")).filter(F.col("p") >= CLOSING_LEAST).select("_last2", F.lit(True).alias("_full2"))
     remarks = loose.filter((F.col("_n_sent") == 1) & (F.col("_words") <= 4)).groupBy("_whole").agg(F.count_distinct("_src").alias("r")).filter(F.col("r") >= CLOSING_LEAST).select("_whole", F.lit(True).alias("_remark"))
 
     peak = spikes(ends)

@@ -68,6 +68,15 @@ def test_truncation_edges(spark):
     assert truncation.truncated(empty, "id", "t", "src").count() == truncation.truncation_rates(empty, "id", "t", "src").count() == 0
 
 
+def test_copies_of_a_cut_text_are_no_proof_of_its_ending(spark):
+    rows, _ = corpus(random.Random(8))
+    copy = SENTENCES[0] + ". Zebras were subsequently placed inside the"
+    rows += [(1000 + i, "S1", copy, "", 1) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, src string, t string, _src string, basis int")
+    got = {r["id"] for r in truncation.truncated(df, "id", "t", "src").collect()}
+    assert set(range(1000, 1200)) <= got
+
+
 # ---- scan noise ----
 CLEAN = "Recognition memory in pigeons was examined during a delayed matching task and the older group performed better than the control group in every session of training."
 
