@@ -2,7 +2,8 @@
 
 Per source and column, histograms of the lengths in characters and in bytes
 show a spike where a field limit cut values off; values at a spike without
-terminal punctuation are cut. Transfer cuts end at any length, so a value
+terminal punctuation are cut, unless another text closes in the same words
+elsewhere. Transfer cuts end at any length, so of the rest a value
 that ends neither with terminal punctuation nor with a closing that the corpus
 shows to be complete is cut too, as is one that carries a mark of the cut.
 
@@ -70,7 +71,8 @@ def endings(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
 def spikes(ends: DataFrame) -> DataFrame:
     """``_src, unit, length, n`` of the lengths at which a source's values pile up."""
     both = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("_chars").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.col("_bytes").alias("length")))).alias("u")
-    hist = ends.select("_src", "_terminal", both).groupBy("_src", "u.unit", "u.length").agg(F.count("*").alias("n"), F.count_if(~F.col("_terminal")).alias("open"))
+    # Copies of one text show no limit, so a length counts distinct texts.
+    hist = ends.select("_src", "_terminal", "_hash", both).groupBy("_src", "u.unit", "u.length", "_hash").agg(F.min("_terminal").alias("_terminal")).groupBy("_src", "unit", "length").agg(F.count("*").alias("n"), F.count_if(~F.col("_terminal")).alias("open"))
     w = Window.partitionBy("_src", "unit")
     near = w.orderBy("length").rangeBetween(-AROUND, AROUND)
     beyond = w.orderBy(F.desc("length")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -110,13 +112,18 @@ def truncated(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
 
     peak = spikes(ends)
     at = lambda unit, col: peak.filter(F.col("unit") == unit).select("_src", F.col("length").alias(col), F.lit(True).alias(f"_at{col}"))
+    placed = loose.join(at("chars", "_chars"), ["_src", "_chars"], "left").join(at("bytes", "_bytes"), ["_src", "_bytes"], "left").withColumn("_limit", F.coalesce("_at_chars", "_at_bytes", F.lit(False)))
+    placed = placed.withColumn("_closing", F.md5(_glyphs(F.col("_frag"))))
+    # Another text that closes in the same words off a spike: two hashes decide, whatever the copies.
+    off = placed.filter(~F.col("_limit")).groupBy("_closing").agg(F.min("_hash").alias("_lo"), F.max("_hash").alias("_hi"))
     judged = (
-        loose.join(stops, ["_open", "_last"], "left").join(spoken, "_open", "left").join(pairs, "_last2", "left").join(remarks, "_whole", "left")
-        .join(at("chars", "_chars"), ["_src", "_chars"], "left").join(at("bytes", "_bytes"), ["_src", "_bytes"], "left")
+        placed.join(stops, ["_open", "_last"], "left").join(spoken, "_open", "left").join(pairs, "_last2", "left").join(remarks, "_whole", "left").join(off, "_closing", "left")
     )
     complete = F.coalesce(F.col("_full"), F.col("_remark"), F.col("_full2") & (F.col("_words") >= 4) & F.col("t").isNull(), F.lit(False))
-    basis = F.when(F.coalesce("_at_chars", "_at_bytes", F.lit(False)), F.lit("limit")).otherwise(F.lit("transfer"))
-    severed = judged.filter(~complete).select(F.col("_id").alias(key), basis.alias("basis"))
+    basis = F.when(F.col("_limit"), F.lit("limit")).otherwise(F.lit("transfer"))
+    seen = F.coalesce((F.col("_lo") != F.col("_hash")) | (F.col("_hi") != F.col("_hash")), F.lit(False))
+    limited = F.col("_limit") & ~seen & F.col("_remark").isNull()
+    severed = judged.filter(limited | ~complete).select(F.col("_id").alias(key), basis.alias("basis"))
     return severed.unionByName(ends.filter("_marked").select(F.col("_id").alias(key), F.lit("marked").alias("basis")))
 
 

@@ -77,6 +77,19 @@ def test_copies_of_a_cut_text_are_no_proof_of_its_ending(spark):
     assert set(range(1000, 1200)) <= got
 
 
+def test_a_spike_decides_values_that_end_with_a_complete_word(spark):
+    rng = random.Random(8)
+    rows, _ = corpus(rng)
+    words = ["memory", "sleep", "birds", "recall"]
+    rows += [(1000 + i, "S1", f"{'. '.join(rng.choice(SENTENCES) for _ in range(4))}. Keywords: {rng.choice(words)}, {rng.choice(words)}", "", 1) for i in range(40)]
+    head = "Keywords: noise, mazes, lesions, memory"
+    at_limit = lambda tail: (". ".join([SENTENCES[0]] * 12) + ". ")[: 298 - len(tail)] + ". " + tail
+    rows += [(2000, "S0", at_limit(head), "", 1), (2001, "S0", at_limit("Keywords: memory, sleep"), "", 1)]
+    df = spark.createDataFrame(rows, "id long, src string, t string, _src string, basis int")
+    got = {r["id"]: r["basis"] for r in truncation.truncated(df, "id", "t", "src").collect()}
+    assert got.get(2000) == "limit" and 2001 not in got and not set(range(1000, 1040)) & set(got)
+
+
 # ---- scan noise ----
 CLEAN = "Recognition memory in pigeons was examined during a delayed matching task and the older group performed better than the control group in every session of training."
 
