@@ -225,19 +225,25 @@ def _links(p: DataFrame) -> DataFrame:
     family = full.groupBy("sur").agg(F.count_distinct("given").alias("family"))
     named = cut(full.join(support, "given").join(family, "sur"))
     # A known given name outweighs a rare one; else the better supported profile stands.
-    top = F.struct(F.when(F.col("k").startswith("U|"), F.col("support")).otherwise(F.lit(0)).alias("weight"), "n", F.negative("entity").alias("e"), "sur", "given", "mids", "support", "family").alias("top")
+    own = F.when(F.col("k").startswith("U|"), F.col("support")).otherwise(F.lit(0))
+    top = F.struct(own.alias("weight"), "n", F.negative("entity").alias("e"), "sur", "given", "mids", "support", "family").alias("top")
     holes = named.select("entity", "n", "sur", "given", "mids", "support", "family", F.explode(F.concat(F.transform(_holes(F.col("sur")), lambda h: key("T", F.col("given"), h)), F.when(F.length("given") > 2, F.transform(_holes(F.col("given")), lambda h: key("U", F.col("sur"), h))).otherwise(none))).alias("k")).filter(F.length("sur") > 3)
-    best = holes.groupBy("k").agg(F.max(top).alias("top"))
-    alike = holes.join(best, "k").filter((F.negative("top.e") != F.col("entity")) & ((F.size("mids") == 0) | (F.size("top.mids") == 0) | F.arrays_overlap("mids", "top.mids")))
+    # A block keeps its best profile of all, of each middle initial and of none; a form meets only those its own initials allow.
+    offers = F.array_union(F.array(F.lit("*")), F.when(F.size("mids") == 0, F.array(F.lit(""))).otherwise(F.col("mids")))
+    meets = F.when(F.size("mids") == 0, F.array(F.lit("*"))).otherwise(F.array_union("mids", F.array(F.lit(""))))
+    best = holes.withColumn("m", F.explode(offers)).groupBy("k", "m").agg(F.max(top).alias("top"))
+    # The less supported of two moves to the better.
+    above = (F.col("top.weight") > own) | (F.col("top.weight") == own) & ((F.col("top.n") > F.col("n")) | (F.col("top.n") == F.col("n")) & (F.negative("top.e") < F.col("entity")))
+    alike = holes.withColumn("m", F.explode(meets)).join(best, ["k", "m"]).filter(above & (F.negative("top.e") != F.col("entity")))
     # A misspelt surname brings no given name the right one lacks; a misspelt given name is far rarer than the known one.
     rare = (F.col("support") < F.col("top.support")) & ((F.col("support") < 3) | (5 * F.col("support") < F.col("top.support")))
     in_sur = (F.col("given") == F.col("top.given")) & ((F.col("sur") != F.col("top.sur")) | F.arrays_overlap("mids", "top.mids")) & _near(F.col("sur"), F.col("top.sur"))
     in_given = (F.col("sur") == F.col("top.sur")) & (F.col("given") != F.col("top.given")) & rare & _near(F.col("given"), F.col("top.given"))
     typo = F.when(F.col("k").startswith("T|"), in_sur).otherwise(in_given)
-    hits = cut(alike.filter(typo).select("entity", "top", "given", F.when(F.arrays_overlap("mids", "top.mids"), 0).otherwise(F.least("family", "top.family")).alias("family"), F.least("sur", "top.sur").alias("s1"), F.greatest("sur", "top.sur").alias("s2")).distinct())
+    hits = cut(alike.filter(typo).select("entity", "top", F.arrays_overlap("mids", "top.mids").alias("same"), "given", F.when(F.arrays_overlap("mids", "top.mids"), 0).otherwise(F.least("family", "top.family")).alias("family"), F.least("sur", "top.sur").alias("s1"), F.greatest("sur", "top.sur").alias("s2")).distinct())
     shared = hits.groupBy("s1", "s2").agg(F.count_distinct("given").alias("shared"))
     hits = hits.join(shared, ["s1", "s2"]).filter((F.col("s1") == F.col("s2")) | (F.col("shared") >= F.col("family")))
-    near = hits.groupBy(F.col("entity").alias("src")).agg(F.max("top").alias("t")).select("src", F.negative("t.e").alias("dst"), F.lit(5).alias("rank"))
+    near = hits.groupBy(F.col("entity").alias("src")).agg(F.max(F.struct("same", "top")).alias("t")).select("src", F.negative("t.top.e").alias("dst"), F.lit(5).alias("rank"))
     return cut(sure).unionByName(cut(near))
 
 

@@ -70,3 +70,9 @@ def test_edges(spark):
     assert 1 not in got and 2 not in got and got[3] == got[4] != got[5]
     df = spark.createDataFrame([(3, "Ann Orvel"), (4, "Orvel, Ann"), (9, "Bo Kim")], "form_id long, form_text string")
     assert [tuple(r) for r in names.same_name_pairs(df).collect()] == [(3, 4)]
+
+
+@pytest.mark.parametrize("typo", ["John B. Velstrmo", "Velstrmo, John B."])
+def test_a_typo_meets_the_name_with_its_own_middle_initial(spark, typo):
+    got = classes(spark, [(1, "John A. Velstrom", "", ""), (2, "Velstrom, John A.", "", ""), (3, "John B. Velstrom", "", ""), (4, typo, "", "")])
+    assert got[3] == got[4] != got[1] == got[2]
