@@ -275,7 +275,7 @@ def _long(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
 
 def learn(df: DataFrame, fields: Sequence[str], train_vectors: bool = True) -> Model:
     """Lexicon, pairs, running heads and skip-gram vectors of all values."""
-    out = T.StructType([T.StructField("tokens", T.ArrayType(T.StringType())), T.StructField("heads", T.ArrayType(T.StringType()))])
+    out = T.StructType([T.StructField("tokens", T.ArrayType(T.StringType())), T.StructField("heads", T.ArrayType(T.StringType())), T.StructField("copies", T.LongType())])
     schema = arrow_schema(out)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,16 +286,17 @@ def learn(df: DataFrame, fields: Sequence[str], train_vectors: bool = True) -> M
                 toks.append(tokens_of(p))
                 lines = re.split(r"[\n\r\f]+", p)
                 heads.append([h for h in map(head_of, lines) if h] if len(lines) > 2 else [])
-            yield pa.RecordBatch.from_arrays([pa.array(toks, schema[0].type), pa.array(heads, schema[1].type)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(toks, schema[0].type), pa.array(heads, schema[1].type), b.column(1)], schema=schema)
 
-    docs = cut(_long(df, fields[0], fields).select("value").mapInArrow(read, out))
-    size = docs.agg(F.count("*"), F.sum(F.size("tokens"))).first()
-    n_docs, n_tokens = size[0], size[1] or 0
+    # A value teaches its words once, however often it is copied; only running heads count every copy.
+    docs = cut(_long(df, fields[0], fields).groupBy("value").agg(F.count("*").alias("copies")).mapInArrow(read, out))
+    size = docs.agg(F.sum("copies"), F.sum(F.size("tokens"))).first()
+    n_docs, n_tokens = size[0] or 0, size[1] or 0
     words = docs.select(F.explode("tokens").alias("w")).groupBy("w").count().filter(F.col("count") >= max(LEAST, WORD_SHARE * n_tokens))
     lexicon = {r["w"]: r["count"] for r in words.collect()}  # at most 1 / WORD_SHARE rows
     couple = F.transform(F.sequence(F.lit(1), F.size("tokens") - 1), lambda i: F.struct(F.element_at("tokens", i).alias("a"), F.element_at("tokens", i + 1).alias("b")))
     pairs = docs.filter(F.size("tokens") > 1).select(F.explode(couple).alias("p")).groupBy("p.a", "p.b").count().filter(F.col("count") >= max(LEAST, PAIR_SHARE * n_tokens))
-    heads = docs.select(F.explode("heads").alias("h")).groupBy("h").count().filter(F.col("count") >= max(2, HEAD_SHARE * n_docs))
+    heads = docs.select(F.explode("heads").alias("h"), "copies").groupBy("h").agg(F.sum("copies").alias("count")).filter(F.col("count") >= max(2, HEAD_SHARE * n_docs))
     return Model(lexicon, {(r["a"], r["b"]) for r in pairs.collect()}, [r["h"] for r in heads.collect()], _vectors(docs, max(LEAST, WORD_SHARE * n_tokens)) if train_vectors and lexicon else {})
 
 

@@ -122,6 +122,15 @@ def test_repair_frame(spark, model):
     assert ocr.repair_fields(df.filter("id > 9"), "id", ["abstract", "title"]).count() == 0
 
 
+def test_copies_do_not_make_a_misreading_a_word(spark):
+    bad = "Recognition rnemory in pigeons and mem ory in birds was examined."
+    rows = [(i, f"Trial {i} of recognition memory in pigeons was examined.") for i in range(60)] + [(1000 + i, bad) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, abstract string")
+    got = {r["id"]: (r["kinds"], r["repaired"]) for r in ocr.repair_fields(df, "id", ["abstract"]).collect()}
+    want = (["misread", "spaced"], "Recognition memory in pigeons and memory in birds was examined.")
+    assert all(got[1000 + i] == want for i in range(30)) and all(got[i][0] == [] for i in range(60))
+
+
 # ---- encodings ----
 @pytest.mark.parametrize("chain", sorted(encodings.CHAINS))
 def test_chains_invert(chain):
