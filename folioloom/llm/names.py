@@ -227,7 +227,7 @@ def _links(p: DataFrame) -> DataFrame:
     # A known given name outweighs a rare one; else the better supported profile stands.
     own = F.when(F.col("k").startswith("U|"), F.col("support")).otherwise(F.lit(0))
     top = F.struct(own.alias("weight"), "n", F.negative("entity").alias("e"), "sur", "given", "mids", "support", "family").alias("top")
-    holes = named.select("entity", "n", "sur", "given", "mids", "support", "family", F.explode(F.concat(F.transform(_holes(F.col("sur")), lambda h: key("T", F.col("given"), h)), F.when(F.length("given") > 2, F.transform(_holes(F.col("given")), lambda h: key("U", F.col("sur"), h))).otherwise(none))).alias("k")).filter(F.length("sur") > 3)
+    holes = named.select("entity", "n", "sur", "given", "mids", "support", "family", F.explode(F.concat(F.when(F.length("sur") > 3, F.transform(_holes(F.col("sur")), lambda h: key("T", F.col("given"), h))).otherwise(none), F.when(F.length("given") > 2, F.transform(_holes(F.col("given")), lambda h: key("U", F.col("sur"), h))).otherwise(none))).alias("k"))
     # A block keeps its best profile of all, of each middle initial and of none; a form meets only those its own initials allow.
     offers = F.array_union(F.array(F.lit("*")), F.when(F.size("mids") == 0, F.array(F.lit(""))).otherwise(F.col("mids")))
     meets = F.when(F.size("mids") == 0, F.array(F.lit("*"))).otherwise(F.array_union("mids", F.array(F.lit(""))))

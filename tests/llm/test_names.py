@@ -76,3 +76,8 @@ def test_edges(spark):
 def test_a_typo_meets_the_name_with_its_own_middle_initial(spark, typo):
     got = classes(spark, [(1, "John A. Velstrom", "", ""), (2, "Velstrom, John A.", "", ""), (3, "John B. Velstrom", "", ""), (4, typo, "", "")])
     assert got[3] == got[4] != got[1] == got[2]
+
+
+def test_misspelt_given_names_meet_beside_short_surnames(spark):
+    got = classes(spark, [(1, "Jonathan Lee", "", ""), (2, "Jonathn Lee", "", ""), (3, "Ann Lee", "", "")] + [(10 + i, f"Jonathan {s}", "", "") for i, s in enumerate(SURNAMES)])
+    assert got[1] == got[2] != got[3]
