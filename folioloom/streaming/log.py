@@ -10,11 +10,10 @@ from pyspark.sql.types import StructType
 from ..operators.changes import apply_changes
 
 
-def arriving(spark: SparkSession, folder: str, schema: StructType, late: str = "30 days", per_trigger: int = 16) -> DataFrame:
-    """New files of change lines as a stream; a line repeated within the lateness allowed counts once."""
+def arriving(spark: SparkSession, folder: str, schema: StructType, per_trigger: int = 16) -> DataFrame:
+    """New files of change lines as a stream, however late; repeats are left to ``keep_current``."""
     lines = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(folder)
-    lines = lines.withColumn("received_at", F.col("received_at").cast("timestamp"))
-    return lines.withWatermark("received_at", late).dropDuplicatesWithinWatermark(["op_seq"])
+    return lines.withColumn("received_at", F.col("received_at").cast("timestamp"))
 
 
 def keep_current(lines: DataFrame, base: DataFrame, log_path: str, out_path: str, fields: list[str], checkpoint: str) -> StreamingQuery:
@@ -23,6 +22,11 @@ def keep_current(lines: DataFrame, base: DataFrame, log_path: str, out_path: str
     change is applied once."""
 
     def step(batch: DataFrame, n: int) -> None:
+        # Repeats are told from the log itself, so a first arrival counts however late it is.
+        batch = batch.dropDuplicates(["op_seq"])
+        if n > 0:
+            kept = batch.sparkSession.read.option("basePath", log_path).parquet(f"{log_path}/batch=*")
+            batch = batch.join(kept.filter(F.col("batch") != n).select("op_seq"), "op_seq", "left_anti").select(*batch.columns)
         batch.write.mode("overwrite").parquet(f"{log_path}/batch={n}")
         log = batch.sparkSession.read.option("basePath", log_path).parquet(f"{log_path}/batch=*")
         apply_changes(base, log.drop("batch"), fields).write.mode("overwrite").parquet(out_path)

@@ -232,3 +232,16 @@ def test_stream_counts_repeats_once(spark, tmp_path, sf):
     want = {tuple(r) for r in apply_changes(base, log, ["title"]).collect()}
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == want
     assert spark.read.parquet(str(tmp_path / "log")).count() == log.select("op_seq").distinct().count()
+
+
+def test_late_lines_reach_the_current_table(spark, sf, tmp_path):
+    log = spark.read.parquet(f"{sf}/corrections.parquet").limit(0)
+    base = spark.read.parquet(f"{sf}/records.parquet").limit(1).cache()
+    key = base.first()
+    for n, (title, day) in enumerate([("new", "2024-06-01"), ("old", "2024-06-02"), ("late", "2020-01-01")], 1):
+        row = {"line_no": n, "op_seq": n, "year": key["year"], "entry_id": key["entry_id"], "field": "title", "value": title}
+        part = spark.createDataFrame([row], "line_no long, op_seq long, year int, entry_id string, field string, value string").withColumn("received_at", F.lit(day).cast("timestamp"))
+        log.unionByName(part.withColumn("received_at", F.col("received_at").cast(log.schema["received_at"].dataType)), allowMissingColumns=True).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    lines = stream.arriving(spark, str(tmp_path / "in"), log.schema, per_trigger=1)
+    stream.keep_current(lines, base, str(tmp_path / "log"), str(tmp_path / "out"), ["title"], str(tmp_path / "cp")).awaitTermination()
+    assert [r["title"] for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["late"]
