@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -11,7 +13,7 @@ from pyspark.sql import types as T
 from .functions.text import BLANK as WS
 from .functions.text import squeeze, strip
 
-__all__ = ["WS", "arrow_schema", "cut", "session", "spread", "squeeze", "strip", "table"]
+__all__ = ["WS", "arrow_schema", "cut", "folder", "keep", "session", "spread", "squeeze", "strip", "table"]
 
 
 def session(cores: int = 8, partitions: int = 8) -> SparkSession:
@@ -42,20 +44,53 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
-
-    The folder is the one the session names in spark.checkpoint.dir; only a
-    session without it (tests) gets a temporary one.
-    """
-    spark = df.sparkSession
+def folder(spark: SparkSession) -> str:
+    """The shared folder of checkpoints and kept tables, named by the session in
+    spark.checkpoint.dir. A local session without one gets a temporary folder; a
+    cluster without one raises, as no folder of one machine serves all."""
     sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir")
+    if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
+        named = os.path.join(tempfile.gettempdir(), "folioloom-checkpoints")
+    return named
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        where = sc.getConf().get("spark.checkpoint.dir") or os.path.join(tempfile.gettempdir(), "folioloom-checkpoints")
-        sc.setCheckpointDir(where)
+        sc.setCheckpointDir(folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+_KEPT: list[tuple[SparkSession, str]] = []
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a compressed table in the shared checkpoint folder and read it
+    back: for wide rows that are read again by columns. Removed when the program ends."""
+    spark = df.sparkSession
+    if not _KEPT:
+        atexit.register(_sweep)
+    path = f"{folder(spark).rstrip('/')}/kept-{uuid.uuid4().hex}"
+    _KEPT.append((spark, path))
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _sweep() -> None:
+    while _KEPT:
+        spark, path = _KEPT.pop()
+        try:
+            jvm = spark.sparkContext._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # the session has ended before; its folder is the cluster's to clean
+            return
+
+
 def arrow_schema(schema: T.StructType):
     from pyspark.sql.pandas.types import to_arrow_schema
 
