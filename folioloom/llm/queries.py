@@ -34,11 +34,11 @@ def p6_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixed = ocr.repair_fields(spread(table(spark, sf_dir, "records")), "ingest_pos", ["abstract", "title"])
-    return fixed.filter("size(kinds) > 0").select("ingest_pos", "field_name").distinct()
+    return fixed.select("ingest_pos", "field_name").distinct()
 
 
 def p7_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ocr.repair_fields(spread(table(spark, sf_dir, "records")), "ingest_pos", ["abstract", "title"]).filter("size(kinds) > 0")
+    return ocr.repair_fields(spread(table(spark, sf_dir, "records")), "ingest_pos", ["abstract", "title"])
 
 
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,10 +115,10 @@ def test_the_end_of_cut_text_is_not_judged(model):
     assert ocr.repair("memory in pigeons was exarn", model)[1] == []
 
 
-def test_repair_frame(spark, model):
+def test_repair_frame(spark):
     df = spark.createDataFrame([(1, "Recog-\nnition memory.", None, "c"), (1, "Recog-\nnition memory.", "", "c"), (2, CLEAN * 300, "memory", "c")], "id long, abstract string, title string, value string")
-    got = [(r["id"], r["field_name"], r["kinds"]) for r in ocr.repair_fields(df, "id", ["abstract", "title"], model).collect()]
-    assert sorted(got) == [(1, "abstract", ["broken"])] * 2 + [(2, "abstract", []), (2, "title", [])]
+    got = [(r["id"], r["field_name"], r["kinds"]) for r in ocr.repair_fields(df, "id", ["abstract", "title"]).collect()]
+    assert sorted(got) == [(1, "abstract", ["broken"])] * 2
     assert ocr.repair_fields(df.filter("id > 9"), "id", ["abstract", "title"]).count() == 0
 
 
@@ -128,7 +128,37 @@ def test_copies_do_not_make_a_misreading_a_word(spark):
     df = spark.createDataFrame(rows, "id long, abstract string")
     got = {r["id"]: (r["kinds"], r["repaired"]) for r in ocr.repair_fields(df, "id", ["abstract"]).collect()}
     want = (["misread", "spaced"], "Recognition memory in pigeons and memory in birds was examined.")
-    assert all(got[1000 + i] == want for i in range(30)) and all(got[i][0] == [] for i in range(60))
+    assert all(got[1000 + i] == want for i in range(30)) and not set(got) & set(range(60))
+
+
+# Words in places of their own, so that each place tells its words apart.
+PLACES = ["The hungry pigeon pecked the bright key", "A tired student read the long novel", "Every nurse washed the small kitchen table", "The old sailor mended a torn net"]
+
+
+def _corpus(times=40):
+    return [f"{PLACES[i % len(PLACES)]} in trial {i} of the morning." for i in range(times * len(PLACES))]
+
+
+def test_vectors_decide_what_a_rare_word_is(spark):
+    texts = [*_corpus(), "The hungry pigeon peeked the bright key in the morning.", "The o1d sailor mended a torn net in the morning.", "The hungry pigeon pecked the bright kitclien in the morning."]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, abstract string")
+    got = {r["id"]: r["repaired"] for r in ocr.repair_fields(df, "id", ["abstract"]).collect()}
+    # 'peeked' has strokes of 'pecked'; 'kitclien' is 'kitchen', which has no place after 'bright'.
+    assert got == {160: "The hungry pigeon pecked the bright key in the morning.", 161: "The old sailor mended a torn net in the morning."} | ({162: got[162]} if 162 in got else {})
+    m = ocr.learn(df, ["abstract"])
+    assert m.fix("o1d", ["the", "sailor", "mended"]) == "old"
+    m.vectors, m.contexts = {}, {}
+    assert m.fix("o1d", ["the", "sailor", "mended"]) is None
+
+
+def test_rare_words_are_asked_for_whatever_the_size(spark, monkeypatch):
+    """The same text is repaired alike when no word is frequent enough to be broadcast but the contexts."""
+    texts = [*_corpus(), "The old sailor men- ded a torn net.", "The o l d e r sailor.", "An older sailor, an older nurse, an older pigeon.", "The older student.", "Every older nurse.", "The mended net wa- shed ashore."]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, abstract string")
+    small = sorted((r["id"], r["kinds"], r["repaired"]) for r in ocr.repair_fields(df, "id", ["abstract"]).collect())
+    monkeypatch.setattr(ocr, "HOT_SHARE", 3e-2)
+    large = sorted((r["id"], r["kinds"], r["repaired"]) for r in ocr.repair_fields(df, "id", ["abstract"]).collect())
+    assert small == large and {r[0] for r in small} == {160, 161, 165}
 
 
 # ---- encodings ----
