@@ -3,7 +3,7 @@
 Per source and column, histograms of the lengths in characters and in bytes
 show a spike where a field limit cut values off; values at a spike without
 terminal punctuation are cut, unless another text closes in the same words
-elsewhere. Transfer cuts end at any length, so of the rest a value
+elsewhere and those words are a complete closing. Transfer cuts end at any length, so off the spikes a value
 that ends neither with terminal punctuation nor with a closing that the corpus
 shows to be complete is cut too, as is one that carries a mark of the cut.
 
@@ -16,12 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import cut, squeeze
+from ..runtime import keep, squeeze
 from .lookalikes import LIKE_FROM, LIKE_TO
 
 MARK = r"(?:\.\.\.|…|\[\s*(?:\.\.\.|…)\s*\])\s*$"
 TERMINAL = r"[\p{L}\p{N})\]”’\"'%°»][ \u00a0]?[.!?]+[\"”’'»)\]]*\s*$"
-SENTENCE = r"(?<=[\p{L}\p{N})\]”’\"'%°»][.!?])[\"”’'»)\]]*\s+"
+SENTENCE = r"([\p{L}\p{N})\]”’\"'%°»])[.!?][\"”’'»)\]]* "
+_CUT, _CLOSERS = "\u0001", "]) ,;.!?”’\""
 #: A length is a spike with at least so many values, so many times the mean of
 #: the lengths around it, and at most this share of the source beyond it.
 SPIKE_LEAST, SPIKE_TIMES, SPIKE_BEYOND, AROUND = 5, 5.0, 0.05, 25
@@ -40,29 +41,31 @@ def _glyphs(c: Column) -> Column:
 
 def _opener(sentence: Column) -> Column:
     """First word if it ends with a colon, else the first two."""
-    words = F.split(sentence, " ")
-    first, second = F.element_at(words, 1), F.coalesce(F.try_element_at(words, F.lit(2)), F.lit(""))
-    pair = F.concat_ws(" ", first, second)
-    return _glyphs(F.when(first.endswith(":"), first).when(second.endswith(":"), pair).otherwise(pair))
+    first = F.substring_index(sentence, " ", 1)
+    return F.when(first.endswith(":"), first).otherwise(F.substring_index(sentence, " ", 2))
 
 
 def _last(sentence: Column, n: int) -> Column:
-    words = F.split(F.regexp_replace(F.regexp_replace(sentence, "[-¬] ", ""), r"[\]\)\s,;.!?”’\"]+$", ""), " ")
-    return _glyphs(F.concat_ws(" ", F.slice(words, F.greatest(F.size(words) - n + 1, F.lit(1)), n)))
+    return F.substring_index(F.rtrim(sentence, F.lit(_CLOSERS)), " ", -n)
 
 
 def endings(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     """What is needed of each value, worked out once: its lengths, how it ends, its
-    last fragment, and opener and last word of every terminated sentence."""
-    text = squeeze(F.col(field))
-    base = df.select(F.col(key).alias("_id"), F.coalesce(F.col(source), F.lit("")).alias("_src"), F.col(field).alias("_raw"), text.alias("_text")).filter("_text <> ''")
-    base = base.withColumn("_sent", F.split("_text", SENTENCE)).withColumn("_terminal", F.col("_text").rlike(TERMINAL))
+    last fragment, and opener and last word of every terminated sentence.
+
+    A text is folded and its sentence ends are marked as a whole, so what is
+    done for each sentence is cutting at spaces.
+    """
+    base = df.select(F.col(key).alias("_id"), F.coalesce(F.col(source), F.lit("")).alias("_src"), F.col(field).alias("_raw"), squeeze(F.col(field)).alias("_text")).filter("_text <> ''")
+    base = base.withColumn("_terminal", F.col("_text").rlike(TERMINAL)).withColumn("_ended", F.regexp_replace("_text", SENTENCE, "$1" + _CUT))
+    folded = _glyphs(F.regexp_replace(F.col("_ended"), "[-¬] ", ""))
+    base = base.withColumn("_sent", F.split(folded, _CUT))
     complete = F.when(F.col("_terminal"), F.col("_sent")).otherwise(F.slice("_sent", 1, F.greatest(F.size("_sent") - 1, F.lit(0))))
     said = F.transform(complete, lambda s: F.struct(_opener(s).alias("open"), _last(s, 1).alias("last")))
     # Only an unterminated value's last fragment is ever looked at.
     loose = lambda c: F.when(~F.col("_terminal"), c)
     frag = F.element_at("_sent", -1)
-    return cut(base.select(
+    return keep(base.select(
         "_id", "_src", F.md5("_text").alias("_hash"), said.alias("_said"), F.size("_sent").alias("_n_sent"), F.char_length("_raw").alias("_chars"), F.octet_length("_raw").alias("_bytes"), F.col("_text").rlike(MARK).alias("_marked"), "_terminal",
         loose(frag).alias("_frag"), loose(F.size(F.split(frag, " "))).alias("_words"), loose(_opener(frag)).alias("_open"), loose(_last(frag, 1)).alias("_last"), loose(_last(frag, 2)).alias("_last2"), loose(F.when(F.size("_sent") == 1, F.lower("_text"))).alias("_whole"),
     ))
@@ -91,10 +94,10 @@ def truncated(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     # Exact copies are one witness: closings are learned from distinct texts, then every row is judged.
     texts = ends.dropDuplicates(["_hash"])
     said = texts.select(F.explode("_said").alias("s")).groupBy("s.open", "s.last").agg(F.count("*").alias("n"))
-    said = cut(said)
+    said = keep(said)
     spoken = said.groupBy(F.col("open").alias("_open")).agg(F.sum("n").alias("t"))
     loose = ends.filter(~F.col("_terminal") & ~F.col("_marked"))
-    once = cut(texts.filter(~F.col("_terminal") & ~F.col("_marked")).drop("_said"))
+    once = keep(texts.filter(~F.col("_terminal") & ~F.col("_marked")).drop("_said"))
     closings = once.filter((F.col("_words") >= 3) | F.col("_open").endswith(":")).groupBy("_open").agg(F.count("*").alias("u")).filter(F.col("u") >= CLOSING_LEAST)
     closings = closings.join(spoken, "_open", "left").filter(F.col("u") >= CLOSING_TIMES * F.coalesce("t", F.lit(0))).select("_open", "u")
     # The word that ends most of an opener's closings; in lists ("Keywords: a, b") also
@@ -104,7 +107,7 @@ def truncated(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     dominant = ended.filter((F.col("s") >= 2) & (F.col("s") >= STOP_SHARE * F.col("u"))).select("_open", "_last")
     lists = ended.filter(F.col("_open").endswith(":") | F.col("_open").endswith("words:"))
     listed = F.filter(F.split("_frag", " "), lambda w: w.rlike("[,;]$"))
-    before = ours.select(F.explode(F.transform(listed, lambda w: _glyphs(F.regexp_replace(w, "[,;]+$", "")))).alias("_last"))
+    before = ours.select(F.explode(F.transform(listed, lambda w: F.rtrim(w, F.lit(",;")))).alias("_last"))
     finals = before.withColumn("n", F.lit(1).cast("long")).unionByName(said.select(F.col("last").alias("_last"), "n")).groupBy("_last").agg(F.sum("n").alias("f")).filter(F.col("f") >= CLOSING_LEAST)
     stops = dominant.unionByName(lists.join(finals, "_last", "left_semi").select("_open", "_last")).distinct().withColumn("_full", F.lit(True))
     pairs = once.join(closings, "_open", "left_semi").groupBy("_last2").agg(F.count("*").alias("p")).filter(F.col("p") >= CLOSING_LEAST).select("_last2", F.lit(True).alias("_full2"))
@@ -113,17 +116,18 @@ def truncated(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     peak = spikes(ends)
     at = lambda unit, col: peak.filter(F.col("unit") == unit).select("_src", F.col("length").alias(col), F.lit(True).alias(f"_at{col}"))
     placed = loose.join(at("chars", "_chars"), ["_src", "_chars"], "left").join(at("bytes", "_bytes"), ["_src", "_bytes"], "left").withColumn("_limit", F.coalesce("_at_chars", "_at_bytes", F.lit(False)))
-    placed = placed.withColumn("_closing", F.md5(_glyphs(F.col("_frag"))))
+    placed = placed.withColumn("_closing", F.md5("_frag"))
     # Another text that closes in the same words off a spike: two hashes decide, whatever the copies.
     off = placed.filter(~F.col("_limit")).groupBy("_closing").agg(F.min("_hash").alias("_lo"), F.max("_hash").alias("_hi"))
     judged = (
         placed.join(stops, ["_open", "_last"], "left").join(spoken, "_open", "left").join(pairs, "_last2", "left").join(remarks, "_whole", "left").join(off, "_closing", "left")
     )
     complete = F.coalesce(F.col("_full"), F.col("_remark"), F.col("_full2") & (F.col("_words") >= 4) & F.col("t").isNull(), F.lit(False))
-    basis = F.when(F.col("_limit"), F.lit("limit")).otherwise(F.lit("transfer"))
     seen = F.coalesce((F.col("_lo") != F.col("_hash")) | (F.col("_hi") != F.col("_hash")), F.lit(False))
-    limited = F.col("_limit") & ~seen & F.col("_remark").isNull()
-    severed = judged.filter(limited | ~complete).select(F.col("_id").alias(key), basis.alias("basis"))
+    limited = F.col("_limit") & ~(seen & complete) & F.col("_remark").isNull()
+    # At a spike the spike decides; endings judge only what lies off the spikes.
+    basis = F.when(limited, F.lit("limit")).when(~F.col("_limit") & ~complete, F.lit("transfer"))
+    severed = judged.select(F.col("_id").alias(key), basis.alias("basis")).filter("basis is not null")
     return severed.unionByName(ends.filter("_marked").select(F.col("_id").alias(key), F.lit("marked").alias("basis")))
 
 
