@@ -17,14 +17,16 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import arrow_schema, cut
+from ..runtime import arrow_schema, cut, keep
 
 # Fixed values: (true encoding, encoding it was read with), applied in turn.
 CHAINS: dict[str, tuple[tuple[str, str], ...]] = {
@@ -59,6 +61,8 @@ CHAINS: dict[str, tuple[tuple[str, str], ...]] = {
     "greek-latin1": (("iso8859-7", "latin-1"),),
 }
 CLEAN, LOST = "clean", "lost"
+#: Up to so many sources the shares of (source x chain) are broadcast.
+FEW_SOURCES = 10_000
 SIGNS = "“”‘’‚„–—…«»‹›°±×÷µ§£€¥¢¼½¾¿¡²³¹·©®™ºª†‡•‰"
 TOKEN = r"[^ \t\n\r\x{000B}\f]+"
 _WORD = re.compile(r"[^\W\d_]+")
@@ -226,25 +230,40 @@ def _char_scores(resp: DataFrame, model: dict[tuple[str, int], float]) -> DataFr
 
     @F.pandas_udf("double")
     def score(back):
-        return back.map(lambda w: sum(table.get(s, low) if s[0] != "�" else -14.0 for s in surroundings(w)))
+        codes, distinct = back.factorize()
+        each = np.array([sum(table.get(s, low) if s[0] != "�" else -14.0 for s in surroundings(w)) for w in distinct])
+        return pd.Series(each[codes] if len(each) else [], dtype="float64")
 
     return resp.withColumn("char_lp", score("back"))
 
 
-def fit(found_words: DataFrame, rounds: int = 4) -> DataFrame:
+def fit(found_words: DataFrame, settled: float = 1e-3) -> DataFrame:
     """Posterior of every (source, word, chain): ``source, word, n, chain, back, resp``.
 
     Words are kept by distinct document, sources are strata; a source without
-    documents has no rows. ``rounds`` is the number of EM iterations.
+    documents has no rows. Rounds go on until less than the share ``settled``
+    of the words moves to or from the clean chain.
     """
     counts = found_words.groupBy("source", "word").agg(F.count("*").alias("n"))
     resp = cut(counts.repartition("word").mapInArrow(_expand, _OUT))
-    for _ in range(rounds):
-        resp = cut(_step(resp))
-    return resp
+    # The clean chain of a source holds most of its words: a table of few sources is broadcast, else AQE splits that key.
+    few = resp.select("source").distinct().count() <= FEW_SOURCES
+    before = _state(resp)
+    while True:
+        resp = cut(_step(resp, F.broadcast if few else lambda t: t))
+        now = _state(resp)
+        if abs(now[0] - before[0]) <= settled * max(now[1], 1.0):
+            return resp
+        before = now
 
 
-def _step(resp: DataFrame) -> DataFrame:
+def _state(resp: DataFrame) -> tuple[float, float]:
+    """Expected number of garbled words, and of all."""
+    r = resp.agg(F.sum(F.when(F.col("chain") != CLEAN, F.col("n") * F.col("resp"))), F.sum(F.col("n") * F.col("resp"))).first()
+    return r[0] or 0.0, r[1] or 0.0
+
+
+def _step(resp: DataFrame, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
     scored = _char_scores(resp, _char_model(resp))
     mass = (F.col("n") * F.col("resp")).alias("m")
     clean = resp.filter("back <> ''").select(F.col("back").alias("b"), mass).groupBy("b").agg(F.sum("m").alias("nc"))
@@ -254,7 +273,7 @@ def _step(resp: DataFrame) -> DataFrame:
     size = resp.select("source", "word", "n").distinct().groupBy("source").agg(F.sum("n").alias("sn"))
     everywhere = {r["chain"]: (r["m"] or 0.0) / total for r in resp.groupBy("chain").agg(F.sum(F.col("n") * F.col("resp")).alias("m")).collect()}
     mean = F.create_map(*[x for c, p in everywhere.items() for x in (F.lit(c), F.lit(float(p)))]) if everywhere else F.create_map(F.lit(CLEAN), F.lit(1.0))
-    joined = scored.join(clean, scored["back"] == clean["b"], "left").drop("b").join(share, ["source", "chain"], "left").join(size, "source", "left")
+    joined = scored.join(clean, scored["back"] == clean["b"], "left").drop("b").join(small(share), ["source", "chain"], "left").join(small(size), "source", "left")
     prior = (F.coalesce("sc", F.lit(0.0)) + 20.0 * F.coalesce(mean[F.col("chain")], F.lit(0.0)) + 0.01) / (F.col("sn") + 20.0)
     # A clean word is not evidence for itself: its own source's count is left out.
     own = F.when(F.col("chain") == CLEAN, F.col("n") * F.col("resp")).otherwise(F.lit(0.0))
@@ -276,7 +295,7 @@ def garbled(df: DataFrame, key: str = "doc_id", field: str = "text", source: str
     chain, the map from garbled to restored word, and how many words are past
     restoring. Null and empty texts are never affected; copies are judged
     alike; a null source is a stratum of its own. An empty table gives no rows."""
-    found = words(df, key, field, source)
+    found = keep(words(df, key, field, source))  # texts are scanned once
     bad = verdicts(fit(found))
     hits = found.join(bad, ["source", "word"])
     return hits.groupBy(key).agg(

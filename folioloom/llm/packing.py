@@ -12,6 +12,7 @@ ever ranked in one task.
 
 from __future__ import annotations
 
+import bisect
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import arrow_schema, cut
+from ..runtime import arrow_schema, cut, keep
 
 #: A size's documents are spread over salts while they are ranked: one for so many documents, and at least LEAST_SALTS.
 SALT_ROWS, LEAST_SALTS = 1_000_000, 64
@@ -45,36 +46,44 @@ def plan(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int,
         runs.append((size, used[size], count, first))
         used[size] += count
 
-    large = sorted((s for s in left if 3 * s > capacity), reverse=True)
-    for a in large:
-        n = left.get(a, 0)
-        for b in large:
-            if n == 0:
-                break
-            if a + b > capacity or left.get(b, 0) == 0:
-                continue
-            m = n // 2 if a == b else min(n, left[b])
-            if not m:
-                continue
+    # The largest size left takes the largest partner that fits; a step uses up a size, so there are as many as sizes.
+    large = sorted(s for s in left if 3 * s > capacity)
+    while large:
+        a = large[-1]
+        at = bisect.bisect_right(large, capacity - a) - 1
+        n = left[a]
+        b = large[at] if at >= 0 else None
+        m = 0 if b is None else n // 2 if a == b else min(n, left[b])
+        if m:
             place(a, m, bins)
             place(b, m, bins)
             gaps[capacity - a - b].append((bins, m))
             bins += m
+            left[a] -= m
             left[b] -= m
-            n = left[a] if a == b else n - m
-            if a == b:
-                left[a] = n = n - m
-        if n:
-            place(a, n, bins)
-            gaps[capacity - a].append((bins, n))
-            bins += n
-        left[a] = 0
+        elif n:
+            # Without a partner, or one left over of a size that pairs with itself.
+            other = large[at - 1] if a == b and at > 0 else None
+            place(a, n if other is None else 1, bins)
+            if other is not None:
+                place(other, 1, bins)
+                left[other] -= 1
+            gaps[capacity - a - (other or 0)].append((bins, n if other is None else 1))
+            bins += n if other is None else 1
+            left[a] = 0
+            if other is not None and not left[other]:
+                large.pop(at - 1)
+                at -= 1
+        if b is not None and a != b and not left[b]:
+            large.pop(at)
+        if not left[a]:
+            large.pop()
 
     open_gaps = sorted(g for g in gaps if g)
     for s in sorted((s for s in left if 3 * s <= capacity), reverse=True):
         n = left[s]
         while n:
-            at = int(np.searchsorted(open_gaps, s))
+            at = bisect.bisect_left(open_gaps, s)
             if at == len(open_gaps):
                 break
             g = open_gaps[at]
@@ -87,7 +96,7 @@ def plan(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int,
                 open_gaps.pop(at)
             if g - s:
                 if not gaps[g - s]:
-                    open_gaps.insert(int(np.searchsorted(open_gaps, g - s)), g - s)
+                    open_gaps.insert(bisect.bisect_left(open_gaps, g - s), g - s)
                 gaps[g - s].append((first, k))
             n -= k
         if n:
@@ -109,7 +118,7 @@ def plan(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int,
 def _open(gaps, open_gaps, gap: int, first: int, count: int) -> None:
     if gap:
         if not gaps[gap]:
-            open_gaps.insert(int(np.searchsorted(open_gaps, gap)), gap)
+            open_gaps.insert(bisect.bisect_left(open_gaps, gap), gap)
         gaps[gap].append((first, count))
 
 
@@ -131,7 +140,8 @@ def pack(sizes: DataFrame, capacities: list[tuple[str, int]], key: str = "doc_id
     bad = [c for c in capacities if not c[1] or c[1] < 1 or c[1] > MOST]
     if bad:
         raise ValueError(f"capacity must be 1 to {MOST}: {bad}")
-    sizes = sizes.select(key, F.coalesce("tokens", F.lit(0)).alias("tokens"))
+    # Sizes are counted once for all capacities.
+    sizes = keep(sizes.select(key, F.coalesce("tokens", F.lit(0)).alias("tokens")))
     items = None
     for name, c in capacities:
         one = pieces(sizes, key, c).withColumn("container", F.lit(name))
