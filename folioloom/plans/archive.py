@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import abstracts, authors, text
 from ..operators import analytics, bibliography, breakpoints, diagnosis, entries, overlay, segments, sheet
-from ..runtime import cut, spread, table
+from ..runtime import cut, scratch, spread, table
+from ..sources import files, sinks
 from ..streaming import log as stream
 from . import sqltext as S
 
@@ -324,6 +325,23 @@ def change_log_counts(spark, d):
     return overlay.log_counts(records(spark, d), table(spark, d, "corrections"))
 
 
+# The log cut in two where half of its numbers are passed: each batch begins with a comment line, which counts.
+_HALF = "(SELECT (min(line_no) + max(line_no)) // 2 AS half FROM corrections)"
+_REREAD = f"(SELECT * REPLACE (row_number() OVER (ORDER BY line_no) + CASE WHEN line_no <= half THEN 1 ELSE 2 END AS line_no) FROM corrections, {_HALF})"
+
+
+@query(f"WITH {_OPS.replace('FROM corrections)', f'FROM {_REREAD} z)')} {_laid(f'SELECT * FROM base WHERE {_ALIVE.format("base")} UNION ALL SELECT * FROM adds', True)}")
+def overlay_two_batches(spark, d):
+    """The log written in two batches and read back, then laid over records."""
+    log = table(spark, d, "corrections")
+    fields = [f.name for f in files.CHANGE.fields if f.name != "_corrupt"]
+    half = log.agg(F.expr("(min(line_no) + max(line_no)) div 2")).first()[0] or 0
+    path = scratch(spark)
+    for name, part in (("first", log.filter(F.col("line_no") <= half)), ("second", log.filter(F.col("line_no") > half))):
+        sinks.append_changes(part.orderBy("line_no").select(*fields), path, name)
+    return _joined(overlay.overlay(records(spark, d), files.read_changes(spark, path)[0], FIELDS))
+
+
 _FIXED = "(SELECT year, entry_id, arg_max({0}, {1}) AS {2} FROM {3} GROUP BY year, entry_id)"
 _SNAP = f"(SELECT year, entry_id, arg_max(coalesce(_snapshot_title, ''), row_no) AS title, arg_max(coalesce(_snapshot_authors, ''), row_no) AS authors_raw, arg_max(coalesce(_snapshot_abstract, ''), row_no) AS abstract FROM {KEYED_SHEET} GROUP BY year, entry_id)"
 

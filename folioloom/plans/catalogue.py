@@ -1,6 +1,6 @@
 """All core queries and their SQL."""
 
-from . import archive, curation
+from . import archive, curation, dialects
 
-QUERIES = {**archive.QUERIES, **curation.QUERIES}
-SQL = {**archive.SQL, **curation.SQL}
+QUERIES = {**archive.QUERIES, **curation.QUERIES, **dialects.QUERIES}
+SQL = {**archive.SQL, **curation.SQL, **dialects.SQL}

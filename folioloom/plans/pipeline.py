@@ -69,5 +69,5 @@ def rebuild(spark: SparkSession, folder: str, log_path: str | None, years: DataF
 def pull_into_log(sheet_rows: DataFrame, current: DataFrame, log: DataFrame, log_path: str, batch: str, today: str) -> DataFrame:
     """Applies reviewers' finished rows to the log and returns what became of each row. A second pull adds nothing."""
     pulled = cut(sheet.pull(sheet_rows, current, log))
-    sinks.append_changes(sheet.changes_of(pulled, today), log_path, batch)
+    sinks.append_changes(sheet.changes_of(pulled, today), log_path, batch, today)
     return pulled

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from .functions.text import BLANK as WS
 from .functions.text import squeeze, strip
 
-__all__ = ["WS", "arrow_schema", "cut", "folder", "keep", "session", "spread", "squeeze", "strip", "table"]
+__all__ = ["WS", "arrow_schema", "cut", "folder", "keep", "scratch", "session", "spread", "squeeze", "strip", "table"]
 
 
 def session(cores: int = 8, partitions: int = 8) -> SparkSession:
@@ -68,14 +68,20 @@ def cut(df: DataFrame) -> DataFrame:
 _KEPT: list[tuple[SparkSession, str]] = []
 
 
-def keep(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a compressed table in the shared checkpoint folder and read it
-    back: for wide rows that are read again by columns. Removed when the program ends."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder, removed when the program ends."""
     if not _KEPT:
         atexit.register(_sweep)
     path = f"{folder(spark).rstrip('/')}/kept-{uuid.uuid4().hex}"
     _KEPT.append((spark, path))
+    return path
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a compressed table in the shared checkpoint folder and read it
+    back: for wide rows that are read again by columns. Removed when the program ends."""
+    spark = df.sparkSession
+    path = scratch(spark)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -6,7 +6,7 @@ import subprocess
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -156,11 +156,24 @@ def read_concatenated(spark: SparkSession, path: str) -> DataFrame:
 
 def read_changes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The change log with its line numbers, and the lines that are no JSON.
-    Blank lines and lines that begin with # are comments."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("at", "line"))
-    said = lines.select((F.col("at") + 1).alias("line_no"), F.trim("line").alias("line")).filter("line <> '' and not startswith(line, '#')")
+
+    Lines are numbered through all files of the log in the order of their
+    paths, which is the order of the batches ``append_changes`` writes, so
+    ``line_no`` is one total order and unique. Blank lines and lines that begin
+    with # are comments; they are counted, as every line is. Files are read in
+    splits: a line's number is its place in its split after the lines of the
+    splits before it, whose counts are a table of one row a split.
+    """
+    where = ["_file", "_block"]
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    # A task reads a split from its start, so ids ascend by one within it.
+    splits = raw.groupBy(*where).agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = Window.orderBy(*where).rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    lines = raw.join(splits.drop("_n"), where).select((F.col("_before") + F.col("_id") - F.col("_first") + 1).cast("long").alias("line_no"), F.trim("value").alias("line"))
+    said = lines.filter("line <> '' and not startswith(line, '#')")
     parsed = said.withColumn("op", F.from_json("line", CHANGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
-    good = parsed.filter("op._corrupt is null").select(F.col("line_no").cast("long").alias("line_no"), "op.*").drop("_corrupt")
+    good = parsed.filter("op._corrupt is null").select("line_no", "op.*").drop("_corrupt")
     return good, parsed.filter("op._corrupt is not null").select("line_no", "line")
 
 

@@ -29,10 +29,23 @@ def write_entries(entry_rows: DataFrame, path: str, title: str = "Bibliography",
     entry_rows.orderBy("year", "entry_id", pos).select("entry").write.mode("overwrite").text(f"{path}/1-entries")
 
 
-def append_changes(changes: DataFrame, path: str, batch: str) -> None:
-    """Appends a batch to the change log as JSON lines under its own name, so a
-    batch written twice replaces itself."""
-    changes.withColumn("batch_id", F.lit(batch)).write.mode("overwrite").json(f"{path}/batch={batch}")
+def append_changes(changes: DataFrame, path: str, batch: str, today: str = "") -> None:
+    """Appends a batch to the change log as JSON lines under a comment that names it.
+
+    Batches are numbered in the order they are written, which is the order of
+    their folders and so of the log's lines; a batch written twice keeps its
+    place and replaces itself. Within a batch lines keep the order of ``changes``.
+    """
+    spark = changes.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    numbers = {n.split(".", 1)[1]: int(n[len("batch=") :].split(".", 1)[0]) for n in names if n.startswith("batch=") and "." in n}
+    place = numbers.get(batch, 1 + max(numbers.values(), default=0))
+    head = spark.createDataFrame([(f"# batch {batch} {today}".strip(),)], "value string").coalesce(1)
+    lines = changes.select(F.to_json(F.struct(*changes.columns)).alias("value"))
+    head.unionByName(lines).write.mode("overwrite").text(f"{path}/batch={place:08d}.{batch}")
 
 
 def preview_changes(changes: DataFrame, path: str) -> None:

@@ -195,6 +195,33 @@ def test_readers(spark, tmp_path):
     assert [(r["year"], r["entry_id"], r["status"]) for r in files.read_sheet(spark, str(tabs), sheet.COLUMNS).collect()] == [("1990", "T1", None)]
 
 
+def test_a_log_of_two_batches_has_one_order(spark, tmp_path):
+    base = spark.createDataFrame([(1, 1990, "B1", "B one", [])], "ingest_pos long, year int, entry_id string, title string, qa_flags array<string>")
+    add = lambda title: [(1990, "B1", True, title, None)]
+    shape = "year int, entry_id string, add boolean, title string, patch map<string,string>"
+    path = str(tmp_path / "log")
+    sinks.append_changes(spark.createDataFrame(add("A first"), shape), path, "z", "2026-01-01")
+    sinks.append_changes(spark.createDataFrame([*add("A second"), (1990, "B1", None, None, {"title": "changed"})], shape).coalesce(1), path, "a", "2026-01-02")
+    log, bad = files.read_changes(spark, path)
+    assert bad.count() == 0 and log.count() == log.select("line_no").distinct().count() == 3
+    got = {r["row_id"]: r["title"] for r in overlay.overlay(base, log, ["title"]).collect()}
+    assert sorted(got.values()) == ["A first", "B one", "changed"] and len(got) == 3
+    sinks.append_changes(spark.createDataFrame(add("A again"), shape), path, "z", "2026-01-03")
+    again = files.read_changes(spark, path)[0].orderBy("line_no").collect()
+    assert [r["title"] for r in again] == ["A again", "A second", None]
+
+
+def test_lines_are_numbered_through_splits(spark, tmp_path):
+    for name in ("b", "a"):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(f'{{"year": {i}, "entry_id": "{name}"}}' for i in range(400)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        got = files.read_changes(spark, str(tmp_path))[0].select("line_no", "entry_id", "year").orderBy("line_no").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [tuple(r) for r in got] == [(i + 1, "ab"[i // 400], i % 400) for i in range(800)]
+
+
 def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([(1, 1990, "T1", "@a{x,\n}\n")], "ingest_pos long, year int, entry_id string, entry string")
     sinks.write_entries(rows, str(tmp_path / "bib"))
@@ -202,7 +229,7 @@ def test_sinks(spark, tmp_path):
     change = spark.createDataFrame([(1990, "T1", "patch")], "year int, entry_id string, op string")
     for _ in range(2):
         sinks.append_changes(change, str(tmp_path / "log"), "b1")
-    assert spark.read.json(str(tmp_path / "log")).count() == 1
+    assert files.read_changes(spark, str(tmp_path / "log"))[0].count() == 1
     y = lambda n: spark.createDataFrame([(n, "T1")], "year int, entry_id string")
     for n in (1990, 1991, 1990):
         sinks.upsert_sheet(y(n), str(tmp_path / "sheet"))

@@ -3,6 +3,7 @@
 import json
 
 from folioloom.plans import pipeline
+from folioloom.sources import files
 
 BODY = "We tested recall in birds over ten days and found that it lasted for the whole of that time."
 
@@ -33,6 +34,6 @@ def test_a_second_pull_adds_nothing(spark, tmp_path, sf):
     log = spark.read.parquet(f"{sf}/corrections.parquet").select("_sheet_hash")
     first = pipeline.pull_into_log(rows, current, log, str(tmp_path / "log"), "b1", "2026-01-01")
     n = first.filter("outcome in ('patch', 'delete')").count()
-    assert n > 0 and spark.read.json(str(tmp_path / "log")).count() == n
-    again = pipeline.pull_into_log(rows, current, log.unionByName(spark.read.json(str(tmp_path / "log")).select("_sheet_hash")), str(tmp_path / "log"), "b2", "2026-01-02")
+    assert n > 0 and files.read_changes(spark, str(tmp_path / "log"))[0].count() == n
+    again = pipeline.pull_into_log(rows, current, log.unionByName(files.read_changes(spark, str(tmp_path / "log"))[0].select("_sheet_hash")), str(tmp_path / "log"), "b2", "2026-01-02")
     assert again.filter("outcome in ('patch', 'delete')").count() == 0
