@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import entries
+from ..functions import abstracts, text
+from ..operators import breakpoints, entries
 from ..runtime import spread, table
 from . import sqltext as S
 
@@ -91,3 +92,53 @@ def _expected(found: list[tuple[str, ...]]) -> str:
 for _name, (_year, _template, _found) in CASES.items():
     QUERIES[f"dialect_{_name}"] = _query(_name, _year, _template)
     SQL[f"dialect_{_name}"] = _expected(_found)
+
+
+# ---- splitting a record at reviewers' breakpoints, in the text of its source ----
+_SOURCE = f"Report of {{W}}\n\nFirst  part.\n\nA. Mac{{S}}\n\n{LONG}\n\n{BODY}\n\nB. Lee and C. Poe\n\n{SHORT}\n\n{BODY}\n"
+_CASE = '% year={Y}  entry_id=T1\n- new entry at "A. Mac{S}"\n-   B. Lee and C. Poe [NOTE: another]\n- title is "Report of {W}"\n- this contains three\n% year={Y} entry_id=T7\n- "Nobody here"\n'
+#: Years of the rendered records, one a record, after all those with an order of their own.
+_FROM = 100_000
+
+
+def split_sections(spark: SparkSession, d: str) -> DataFrame:
+    """``year, entry_id, op, patch``; of two documents of a year the longer one is the source."""
+    r = spread(table(spark, d, "records")).select((F.col("ingest_pos") + _FROM).cast("int").alias("year"), F.regexp_extract(F.coalesce("title", F.lit("")), WORD, 0).alias("word"), F.regexp_extract(F.coalesce("authors_raw", F.lit("")), NAME, 0).alias("name")).filter(_FIT)
+    fill = lambda t: F.replace(F.replace(F.replace(F.lit(t), F.lit("{W}"), "word"), F.lit("{S}"), "name"), F.lit("{Y}"), F.col("year").cast("string"))
+    cases = breakpoints.read_cases(r.select(fill(_CASE).alias("text")), "text")
+    base = r.select("year", F.lit("T1").alias("entry_id"), F.lit("Old").alias("title"), F.lit("talk").alias("presentation_type"), text.squeeze(fill(_SOURCE)).alias("abstract"))
+    docs = r.select("year", fill(_SOURCE).alias("text")).unionByName(r.select("year", fill("A. Mac{S} in a short text").alias("text")))
+    out = breakpoints.split_changes(cases, base, docs)
+    return out.select("year", "entry_id", "op", F.array_join(F.transform(F.array_sort(F.map_entries("patch")), lambda e: F.concat_ws("=", e["key"], e["value"])), "\n").alias("patch"))
+
+
+def _split_sql() -> str:
+    def add(n: int, authors: str, title: str, at: str) -> tuple[str, str, str]:
+        return f"T1-split{n}", "add", f"abstract={BODY}\nauthors_raw={authors}\nconfidence=manual_split\nnote_extra=Split from T1 at: '{at}'\npresentation_type=talk\ntitle={title}"
+
+    rows = [("T1", "patch", "title=Report of {W}"), ("T1", "patch", "abstract=Report of {W} First part."), add(1, "A. Mac{S}", LONG, "A. Mac{S}"), add(2, "B. Lee and C. Poe", SHORT, "B. Lee and C. Poe"), ("T7", "note", "note=no such record")]
+    filled = f"(SELECT ingest_pos, regexp_extract(coalesce(title, ''), {S.q(WORD)}) AS word, regexp_extract(coalesce(authors_raw, ''), {S.q(NAME)}) AS name FROM records)"
+    return " UNION ALL ".join(f"SELECT CAST(ingest_pos + {_FROM} AS INTEGER) AS year, {S.q(e)} AS entry_id, {S.q(o)} AS op, replace(replace({S.q(p)}, '{{W}}', word), '{{S}}', name) AS patch FROM {filled} WHERE {_FIT}" for e, o, p in rows)
+
+
+# ---- cleaning of abstracts ----
+_DIRTY = f"PAGE 12\n{BODY}\n 45 \nSEQ CHAPTER \\h \\r 1It went on\twith   {{W}}.\n\nSession 3. Chair: B. Lee\n\nMore of it.\n\n1:30 - 2:15 Coffee and a walk in the garden\nT9) Another talk\n"
+_CUT_FORM = f"PRESENTATION TYPE: talk\n\n{BODY}\nPRESENTATION FORMAT: Talk __ Poster _x_\nEQUIPMENT: none\n"
+_RULED = f"Title: -----\n{BODY}\nBALLOT for the best poster\nThe next entry about {{W}}."
+
+
+def cleaned_texts(spark: SparkSession, d: str) -> DataFrame:
+    """``ingest_pos, page, form, kind, ruled``: dirty texts rendered from all records, cleaned."""
+    r = rendered(spark, d, 0, _DIRTY + "\v" + _CUT_FORM + "\v" + _RULED).select("ingest_pos", F.split("text", "\v").alias("t"))
+    at = lambda i: F.element_at("t", i)
+    return r.select("ingest_pos", abstracts.clean_abstract(at(1)).alias("page"), abstracts.cut_form(at(2)).alias("form"), abstracts.form_kind(at(2)).alias("kind"), abstracts.clean_abstract(at(3)).alias("ruled"))
+
+
+def _cleaned_sql() -> str:
+    filled = f"(SELECT ingest_pos, regexp_extract(coalesce(title, ''), {S.q(WORD)}) AS word, regexp_extract(coalesce(authors_raw, ''), {S.q(NAME)}) AS name FROM records)"
+    fill = lambda t: f"replace({S.q(t)}, '{{W}}', word)"
+    return f"SELECT ingest_pos, {fill(f'{BODY} It went on with {{W}}. More of it.')} AS page, {fill(BODY)} AS form, 'poster' AS kind, {fill(BODY)} AS ruled FROM {filled} WHERE {_FIT}"
+
+
+QUERIES |= {"split_sections": split_sections, "cleaned_texts": cleaned_texts}
+SQL |= {"split_sections": _split_sql(), "cleaned_texts": _cleaned_sql()}
