@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import arrow_schema, squeeze, strip
+from ..runtime import arrow_schema, strip
 
 
 def newest(df: DataFrame, keys: Sequence[str], pos: str, values: Sequence[str]) -> DataFrame:
@@ -26,17 +26,20 @@ def newest(df: DataFrame, keys: Sequence[str], pos: str, values: Sequence[str])
 
 
 def prepare(df: DataFrame, key: Sequence[str], entry: str, pos: str, values: dict[str, str]) -> DataFrame:
-    """Usable rows with trimmed keys, values squeezed and null as ''."""
+    """Usable rows with trimmed keys and null as ''; white space is left to the merge, which looks at it only where values are unequal."""
     shaped = df.select(F.col(key[0]).alias("_k0"), strip(F.col(entry)).alias("_k1"), F.col(pos).alias("_pos"), *[F.coalesce(F.col(c), F.lit("")).alias(f"v_{n}") for n, c in values.items()])
-    top = newest(shaped.filter("_k0 is not null and _k1 is not null and _k1 <> ''"), ["_k0", "_k1"], "_pos", [f"v_{n}" for n in values])
-    return top.select("_k0", "_k1", *[squeeze(F.col(f"v_{n}")).alias(f"v_{n}") for n in values])
+    return newest(shaped.filter("_k0 is not null and _k1 is not null and _k1 <> ''"), ["_k0", "_k1"], "_pos", [f"v_{n}" for n in values])
+
+
+def _plain(value: str) -> str:
+    return unicodedata.normalize("NFC", " ".join(value.split()))
 
 
 def diff_copies(left: DataFrame, right: DataFrame, fields: Sequence[str], left_only: str, right_only: str) -> DataFrame:
     """Rows missing on either side and fields that differ, by (_k0, _k1).
 
     Inputs come from ``prepare``: at most one row per key and side. Values
-    equal after canonical composition are equal. Empty sides make every row of
+    equal but for amount and kind of white space and canonical composition are equal. Empty sides make every row of
     the other one-sided; two empty sides give no rows.
     """
     cols = [f"v_{f}" for f in fields]
@@ -56,7 +59,7 @@ def diff_copies(left: DataFrame, right: DataFrame, fields: Sequence[str], left_o
                 elif pending[:2] == r[:2] and pending[2] != r[2]:
                     for i, f in enumerate(fields):
                         x, y = pending[3 + i], r[3 + i]
-                        if x != y and unicodedata.normalize("NFC", x) != unicodedata.normalize("NFC", y):
+                        if x != y and _plain(x) != _plain(y):
                             rows.append((r[0], r[1], f, "differs"))
                     pending = None
                 else:
