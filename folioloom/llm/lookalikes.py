@@ -21,11 +21,21 @@ from pyspark.sql import types as T
 from ..runtime import arrow_schema
 
 # Letters of other scripts drawn like Latin ones, and the Latin letter each looks like.
-LIKE_FROM = "АВЕЅІЈКМНОРСТУХҮаеѕіјорсухһԁԛԝәΑΒΕΖΗΙΚΜΝΟΡΤΥΧοντιυϲϳ"
-LIKE_TO = "ABESIJKMHOPCTYXYaesijopcyxhdqwəABEZHIKMNOPTYXovtiucj"
+LOOK = (
+    ("АВЕЅІЈКМНОРСТУХҮЬаеѕіјорсухһԁԛԝәвгкмнптьѵ", "ABESIJKMHOPCTYXYbaesijopcyxhdqwəbrkmhntbv"),  # Cyrillic
+    ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοντιυϲϳ", "ABEZHIKMNOPTYXovtiucj"),  # Greek
+    ("ՕՍՏԼօսհոցքգ", "OUSLouhngpq"),  # Armenian
+    ("ᎪᏴᏟᎠᎬᏀᎻᎥᎫᏦᏞᎷᏢᎡᏚᎢᏙᎳᎩᏃ", "ABCDEGHiJKLMPRSTVWYZ"),  # Cherokee
+    ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"),  # Lisu
+)
+LIKE_FROM, LIKE_TO = "".join(a for a, _ in LOOK), "".join(b for _, b in LOOK)
 assert len(LIKE_FROM) == len(LIKE_TO)
-#: Greek letters used as symbols stay letters of their own even beside Latin ones.
 LIKE = {ord(a): b for a, b in zip(LIKE_FROM, LIKE_TO)}
+# Letters that are also symbols or phonetic signs: look-alikes only inside a word of Latin letters.
+SIGN_FROM, SIGN_TO = "αργκωησɡɑ", "apykwnoga"
+SIGNS = {ord(a): b for a, b in zip(SIGN_FROM, SIGN_TO)}
+# Indices written after a symbol, which are no words.
+INDICES = {"max", "min", "crit", "eff", "obs", "exp", "tot"}
 
 # Default-ignorable code points.
 IGNORABLE = "\u00ad͏\u061cᅟᅠ឴឵᠋-᠏\u200b-\u200f\u202a-\u202e\u2060-\u206fㅤ︀-️\ufeffﾠ\U000e0000-\U000e0fff"
@@ -39,12 +49,18 @@ _HYPHEN = re.compile(f"[{HYPHENS}]")
 _WS = re.compile(r"\s+")
 _FOREIGN = re.compile(f"[{LIKE_FROM}]")
 _LATIN = re.compile("[A-Za-zÀ-ɏ]")
+_SEGMENT = re.compile(r"[^\W\d_]+")
+_SIGN = re.compile(f"[{SIGN_FROM}]")
+# Scripts whose letters never stand in a word with Latin ones: Cyrillic, Armenian, Cherokee, Lisu.
+_APART = re.compile("[\u0400-\u052f\u0531-\u0587\u13a0-\u13ff\uab70-\uabbf\ua4d0-\ua4ff]")
+# Marks of no script of their own; those of Hebrew, Arabic or Indic letters belong to their words.
+_MARK = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
 _NON_ASCII = re.compile(r"[^\x00-\x7f]")
 
 
 def _other_form(ch: str) -> bool:
     """Whether one character is another encoding form of ordinary text."""
-    if unicodedata.category(ch) == "Mn":
+    if _MARK.match(ch):
         return True
     d = unicodedata.decomposition(ch)
     if not d:
@@ -58,15 +74,22 @@ def _other_form(ch: str) -> bool:
     return unicodedata.normalize("NFC", ch) != ch
 
 
+def _sign_as_letter(word: str) -> bool:
+    """A sign inside a word of at least three plain Latin letters that are no index."""
+    rest = _SIGN.sub("", word)
+    return len(rest) == len(word) - 1 and len(rest) > 2 and rest.isascii() and rest.lower() not in INDICES
+
+
 def _mixed(value: str) -> bool:
-    """A look-alike letter inside a word of Latin letters, or standing alone as an initial."""
-    if not _FOREIGN.search(value):
-        return False
-    for m in _RUN.finditer(value):
-        w = m.group()
-        if _FOREIGN.search(w) and (_LATIN.search(w) or _initial(value, m)):
-            return True
-    return False
+    """A look-alike letter inside a word of Latin letters (a symbol with an index is none), or standing alone as an initial."""
+    if _FOREIGN.search(value):
+        for m in _RUN.finditer(value):
+            w = m.group()
+            if _FOREIGN.search(w) and (_LATIN.search(w) and w[1:].lower() not in INDICES or _initial(value, m)):
+                return True
+    if _APART.search(value) and any(_APART.search(w) and _LATIN.search(w) for w in _SEGMENT.findall(value)):
+        return True
+    return bool(_SIGN.search(value)) and any(_SIGN.search(w) and _sign_as_letter(w) for w in _SEGMENT.findall(value))
 
 
 def _initial(value: str, m: re.Match) -> bool:
@@ -85,7 +108,9 @@ def is_affected(value: str | None) -> bool:
 
 def _latin(m: re.Match) -> str:
     w = m.group()
-    return w.translate(LIKE) if _LATIN.search(w) or _initial(m.string, m) else w
+    if _LATIN.search(w) and w[1:].lower() not in INDICES or _initial(m.string, m):
+        w = w.translate(LIKE)
+    return _SEGMENT.sub(lambda x: x[0].translate(SIGNS) if _sign_as_letter(x[0]) else x[0], w) if _SIGN.search(w) else w
 
 
 def form(value: str | None) -> str | None:
@@ -127,8 +152,7 @@ def affected_values(df: DataFrame, key: str, fields: Sequence[str]) -> DataFrame
     return unify(df, key, fields).filter("affected").select(key, "field_name").distinct()
 
 
-def form_classes(df: DataFrame, key: str, field: str) -> DataFrame:
-    """Values by consistent form: ``form, n_rows, n_spellings`` of forms with an affected value."""
-    u = unify(df, key, [field])
-    raw = df.select(key, F.col(field).alias("raw"))
-    return u.join(raw, key).groupBy("form").agg(F.count("*").alias("n_rows"), F.count_distinct("raw").alias("n_spellings"), F.max("affected").alias("a")).filter("a").drop("a")
+def form_classes(df: DataFrame, field: str) -> DataFrame:
+    """Values by consistent form: ``form, n_rows, n_spellings`` of forms with an affected value. Every row counts once."""
+    u = unify(df.select(F.col(field).alias("raw"), F.col(field).alias("value")), "raw", ["value"])
+    return u.groupBy("form").agg(F.count("*").alias("n_rows"), F.count_distinct("raw").alias("n_spellings"), F.max("affected").alias("a")).filter("a").drop("a")

@@ -25,7 +25,9 @@ def test_unify_frame(spark):
     df = spark.createDataFrame([(1, "wоrd", None, "c"), (1, "wоrd", "", "c"), (2, "x" * 500_000 + "\u200b", "a", "c")], "id long, a string, b string, field_name string")
     assert sorted((r["id"], r["field_name"]) for r in lookalikes.affected_values(df, "id", ["a", "b"]).collect()) == [(1, "a"), (2, "a")]
     assert lookalikes.unify(df.filter("id > 9"), "id", ["a", "b"]).count() == 0
-    assert [tuple(r)[1:] for r in lookalikes.form_classes(df.filter("id = 2"), "id", "a").collect()] == [(1, 1)]
+    assert [tuple(r)[1:] for r in lookalikes.form_classes(df.filter("id = 2"), "a").collect()] == [(1, 1)]
+    twice = df.filter("id = 2")
+    assert [tuple(r)[1:] for r in lookalikes.form_classes(twice.unionByName(twice), "a").collect()] == [(2, 1)]
 
 
 # ---- truncation ----
@@ -90,6 +92,16 @@ def test_a_spike_decides_values_that_end_with_a_complete_word(spark):
     assert got.get(2000) == "limit" and 2001 not in got and not set(range(1000, 1040)) & set(got)
 
 
+@pytest.mark.parametrize("text, form", [("\u03c1aper", "paper"), ("\u0261oogle", "google"), ("\u13aapple", "apple"), ("pa\u0442h", "path"), ("\ua4d0ird", "bird"), ("\u0570eart", "heart")])
+def test_lookalikes_of_other_alphabets(text, form):
+    assert lookalikes.is_affected(text) and lookalikes.form(text) == form
+
+
+@pytest.mark.parametrize("text", ["\u0939\u093f\u0928\u094d\u0926\u0940 \u092e\u0947\u0902", "\u05e9\u05c1\u05b8\u05dc\u05d5\u05b9\u05dd", "\u03b1-level", "\u03c4max", "TNF-\u03b1", "\u03c1 = .4", "\u03b7p", "\u043f\u0440\u0438\u0432\u0435\u0442"])
+def test_other_scripts_and_symbols_are_no_lookalikes(text):
+    assert not lookalikes.is_affected(text)
+
+
 # ---- scan noise ----
 CLEAN = "Recognition memory in pigeons was examined during a delayed matching task and the older group performed better than the control group in every session of training."
 
