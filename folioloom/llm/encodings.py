@@ -237,7 +237,7 @@ def _char_scores(resp: DataFrame, model: dict[tuple[str, int], float]) -> DataFr
     return resp.withColumn("char_lp", score("back"))
 
 
-def fit(found_words: DataFrame, settled: float = 1e-3) -> DataFrame:
+def fit(found_words: DataFrame, settled: float = 1e-4) -> DataFrame:
     """Posterior of every (source, word, chain): ``source, word, n, chain, back, resp``.
 
     Words are kept by distinct document, sources are strata; a source without

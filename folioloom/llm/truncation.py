@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import BLANK
 from ..runtime import keep, squeeze
 from .lookalikes import LIKE_FROM, LIKE_TO
 
@@ -33,20 +34,19 @@ STOP_SHARE = 0.1
 _HIDDEN = r"\u00AD\u200B-\u200F\u202A-\u202E\u2060-\u2064\uFEFF"
 
 
-def _glyphs(c: Column) -> Column:
-    """Folds what scanners and look-alikes confuse, so a damaged closing still counts as one."""
-    latin = F.translate(F.regexp_replace(c, f"[{_HIDDEN}]", ""), LIKE_FROM, LIKE_TO)
-    return F.regexp_replace(F.translate(F.lower(latin), "0153|!6", "oissllb"), "cl", "d")
+def _glyphs(words: Column) -> Column:
+    """Folds what scanners confuse, so a damaged closing still counts as one."""
+    return F.replace(F.translate(words, "0153|!6", "oissllb"), F.lit("cl"), F.lit("d"))
 
 
 def _opener(sentence: Column) -> Column:
     """First word if it ends with a colon, else the first two."""
     first = F.substring_index(sentence, " ", 1)
-    return F.when(first.endswith(":"), first).otherwise(F.substring_index(sentence, " ", 2))
+    return _glyphs(F.when(first.endswith(":"), first).otherwise(F.substring_index(sentence, " ", 2)))
 
 
 def _last(sentence: Column, n: int) -> Column:
-    return F.substring_index(F.rtrim(sentence, F.lit(_CLOSERS)), " ", -n)
+    return _glyphs(F.substring_index(F.rtrim(sentence, F.lit(_CLOSERS)), " ", -n))
 
 
 def endings(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
@@ -56,9 +56,11 @@ def endings(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     A text is folded and its sentence ends are marked as a whole, so what is
     done for each sentence is cutting at spaces.
     """
-    base = df.select(F.col(key).alias("_id"), F.coalesce(F.col(source), F.lit("")).alias("_src"), F.col(field).alias("_raw"), squeeze(F.col(field)).alias("_text")).filter("_text <> ''")
+    base = df.filter(F.col(field).rlike(f"[^{BLANK[1:]}")).select(F.col(key).alias("_id"), F.coalesce(F.col(source), F.lit("")).alias("_src"), F.col(field).alias("_raw"), squeeze(F.col(field)).alias("_text"))
     base = base.withColumn("_terminal", F.col("_text").rlike(TERMINAL)).withColumn("_ended", F.regexp_replace("_text", SENTENCE, "$1" + _CUT))
-    folded = _glyphs(F.regexp_replace(F.col("_ended"), "[-¬] ", ""))
+    # Look-alike letters are all beyond the Latin ones, which most texts never leave.
+    whole = F.lower(F.regexp_replace("_ended", f"[-¬] |[{_HIDDEN}]", ""))
+    folded = F.when(F.col("_ended").rlike("[\u0370-\uffff]"), F.lower(F.translate(F.regexp_replace("_ended", f"[-¬] |[{_HIDDEN}]", ""), LIKE_FROM, LIKE_TO))).otherwise(whole)
     base = base.withColumn("_sent", F.split(folded, _CUT))
     complete = F.when(F.col("_terminal"), F.col("_sent")).otherwise(F.slice("_sent", 1, F.greatest(F.size("_sent") - 1, F.lit(0))))
     said = F.transform(complete, lambda s: F.struct(_opener(s).alias("open"), _last(s, 1).alias("last")))
@@ -107,7 +109,7 @@ def truncated(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     dominant = ended.filter((F.col("s") >= 2) & (F.col("s") >= STOP_SHARE * F.col("u"))).select("_open", "_last")
     lists = ended.filter(F.col("_open").endswith(":") | F.col("_open").endswith("words:"))
     listed = F.filter(F.split("_frag", " "), lambda w: w.rlike("[,;]$"))
-    before = ours.select(F.explode(F.transform(listed, lambda w: F.rtrim(w, F.lit(",;")))).alias("_last"))
+    before = ours.select(F.explode(F.transform(listed, lambda w: _glyphs(F.rtrim(w, F.lit(",;"))))).alias("_last"))
     finals = before.withColumn("n", F.lit(1).cast("long")).unionByName(said.select(F.col("last").alias("_last"), "n")).groupBy("_last").agg(F.sum("n").alias("f")).filter(F.col("f") >= CLOSING_LEAST)
     stops = dominant.unionByName(lists.join(finals, "_last", "left_semi").select("_open", "_last")).distinct().withColumn("_full", F.lit(True))
     pairs = once.join(closings, "_open", "left_semi").groupBy("_last2").agg(F.count("*").alias("p")).filter(F.col("p") >= CLOSING_LEAST).select("_last2", F.lit(True).alias("_full2"))
@@ -116,7 +118,7 @@ def truncated(df: DataFrame, key: str, field: str, source: str) -> DataFrame:
     peak = spikes(ends)
     at = lambda unit, col: peak.filter(F.col("unit") == unit).select("_src", F.col("length").alias(col), F.lit(True).alias(f"_at{col}"))
     placed = loose.join(at("chars", "_chars"), ["_src", "_chars"], "left").join(at("bytes", "_bytes"), ["_src", "_bytes"], "left").withColumn("_limit", F.coalesce("_at_chars", "_at_bytes", F.lit(False)))
-    placed = placed.withColumn("_closing", F.md5("_frag"))
+    placed = placed.withColumn("_closing", F.md5(_glyphs(F.col("_frag"))))
     # Another text that closes in the same words off a spike: two hashes decide, whatever the copies.
     off = placed.filter(~F.col("_limit")).groupBy("_closing").agg(F.min("_hash").alias("_lo"), F.max("_hash").alias("_hi"))
     judged = (
