@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.abstracts import clean_abstract
 from ..functions.authors import author_field, key_base
 from ..functions.text import kind_title, squeeze, unbrace
-from ..runtime import cut
+from ..runtime import cut, ranked
 
 
 def _suffix(n: Column) -> Column:
@@ -23,10 +23,8 @@ def citekeys(records: DataFrame, pos: str = "ingest_pos") -> DataFrame:
     would clash: its later keys take further suffixes until none clash."""
     base = records.select(pos, "year", "entry_id", key_base(F.col("authors_raw"), F.col("year"), F.col("title")).alias("base"))
     order = ["year", "entry_id", pos]
-    # One base's records share a surname, a year and a title word; salted counts are not needed to number them,
-    # the sort of a base spills like any window's.
-    n = F.row_number().over(Window.partitionBy("base").orderBy(*order)) - 1
-    keyed = cut(base.withColumn("n", n).withColumn("citekey", F.concat("base", _suffix(F.col("n")))))
+    # Records without authors and title share one base a year, so a base is numbered by many tasks.
+    keyed = cut(ranked(base, ["base"], order, "n").withColumn("n", F.col("n") - 1).withColumn("citekey", F.concat("base", _suffix(F.col("n")))))
     while True:
         rank = F.row_number().over(Window.partitionBy("citekey").orderBy("n", *order))
         twice = keyed.groupBy("citekey").count().filter("count > 1").select("citekey")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import natural_key, snippet
+from ..runtime import ranked
 
 # Thresholds of lengths.
 LONG, VERY_LONG, SHORT, TITLE_LONG = 2200, 3000, 60, 220
@@ -124,6 +125,5 @@ def is_issue() -> Column:
 
 def natural_order(records: DataFrame, group: str, entry: str, pos: str) -> DataFrame:
     """Rank of each record in its group by natural order of its id; equal ids by position."""
-    w = Window.partitionBy(group).orderBy(natural_key(F.col(entry)), pos)
-    lexical = Window.partitionBy(group).orderBy(entry, pos)
-    return records.select(group, entry, pos, F.row_number().over(w).alias("natural_rank"), F.row_number().over(lexical).alias("lexical_rank"))
+    rows = records.select(group, entry, pos)
+    return ranked(ranked(rows, [group], [natural_key(F.col(entry)), pos], "natural_rank"), [group], [entry, pos], "lexical_rank")

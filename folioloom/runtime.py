@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import atexit
+import functools
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.text import BLANK as WS
 from .functions.text import squeeze, strip
 
-__all__ = ["WS", "arrow_schema", "cut", "folder", "keep", "scratch", "session", "spread", "squeeze", "strip", "table"]
+__all__ = ["WS", "arrow_schema", "cut", "folder", "keep", "ranked", "scratch", "session", "spread", "squeeze", "strip", "table"]
 
 
 def session(cores: int = 8, partitions: int = 8) -> SparkSession:
@@ -65,6 +68,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
+    """``df`` with each row's place from 1 in its group. ``order`` should be total.
+
+    A group that holds much of the rows is ranked by many tasks: rows are range-
+    partitioned by (group, order), ranked within their partition, and the
+    group's rows in the partitions before, one number a partition, are added.
+    """
+    keys = [f"_o{i}" for i in range(len(order))]
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    placed = cut(df.withColumns(dict(zip(keys, cols))).repartitionByRange(*group, *keys).withColumn("_p", F.spark_partition_id()))
+    before = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(*group, "_p").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    on = [*group, "_p"]
+    sizes = sizes.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(on)], "_before")
+    here = F.row_number().over(Window.partitionBy(*group, "_p").orderBy(*keys))
+    match = functools.reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(on)])
+    return placed.withColumn("_here", here).join(sizes, match, "left").select(*df.columns, (F.col("_here") + F.col("_before")).alias(name))
+
+
 _KEPT: list[tuple[SparkSession, str]] = []
 
 
