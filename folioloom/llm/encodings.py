@@ -237,12 +237,12 @@ def _char_scores(resp: DataFrame, model: dict[tuple[str, int], float]) -> DataFr
     return resp.withColumn("char_lp", score("back"))
 
 
-def fit(found_words: DataFrame, settled: float = 1e-4) -> DataFrame:
+def fit(found_words: DataFrame, settled: float = 1e-5) -> DataFrame:
     """Posterior of every (source, word, chain): ``source, word, n, chain, back, resp``.
 
     Words are kept by distinct document, sources are strata; a source without
     documents has no rows. Rounds go on until less than the share ``settled``
-    of the words moves to or from the clean chain.
+    of the words moves between chains.
     """
     counts = found_words.groupBy("source", "word").agg(F.count("*").alias("n"))
     resp = cut(counts.repartition("word").mapInArrow(_expand, _OUT))
@@ -252,15 +252,14 @@ def fit(found_words: DataFrame, settled: float = 1e-4) -> DataFrame:
     while True:
         resp = cut(_step(resp, F.broadcast if few else lambda t: t))
         now = _state(resp)
-        if abs(now[0] - before[0]) <= settled * max(now[1], 1.0):
+        if sum(abs(now[c] - before.get(c, 0.0)) for c in now) <= settled * max(sum(now.values()), 1.0):
             return resp
         before = now
 
 
-def _state(resp: DataFrame) -> tuple[float, float]:
-    """Expected number of garbled words, and of all."""
-    r = resp.agg(F.sum(F.when(F.col("chain") != CLEAN, F.col("n") * F.col("resp"))), F.sum(F.col("n") * F.col("resp"))).first()
-    return r[0] or 0.0, r[1] or 0.0
+def _state(resp: DataFrame) -> dict[str, float]:
+    """Expected words of each chain."""
+    return {r["chain"]: r["m"] or 0.0 for r in resp.groupBy("chain").agg(F.sum(F.col("n") * F.col("resp")).alias("m")).collect()}
 
 
 def _step(resp: DataFrame, small: Callable[[DataFrame], DataFrame]) -> DataFrame:
