@@ -67,6 +67,14 @@ def streaks(attended: DataFrame, who: str, when: str, at_least: int = 1) -> Data
     return best.select(who, "b.streak", "b.first", "b.last").filter(F.col("streak") >= at_least)
 
 
+def top_streaks(m: DataFrame, a: DataFrame, group: str = "year", k: int = 12, least: int = 5) -> DataFrame:
+    """``place, key, display, streak, first, last`` of the k longest streaks of ``least``
+    periods or more, ties to the author met first; first and last are the author's."""
+    order = [F.desc("streak"), "first_seen"]
+    top = streaks(m, "key", group, least).select("key", "streak").join(a, "key").orderBy(*order).limit(k)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(*order))).select("place", "key", "display", "streak", F.col("first_group").alias("first"), F.col("last_group").alias("last"))
+
+
 def co_authors(m: DataFrame, pos: str = "ingest_pos", least: int = 2, least_node: int = 1) -> DataFrame:
     """``a, b, weight``: records two authors share. Pairs are made inside one
     record's list, so they are bounded by it and need no self-join."""
@@ -132,18 +140,33 @@ def over_represented(df: DataFrame, group: str, title: Column, keep: Column, lea
     return scored.groupBy(group).agg(F.max(F.struct("score", "word", "n")).alias("t")).select(group, "t.word", "t.n", F.round("t.score", 6).alias("score"))
 
 
-def stats_document(records: DataFrame, edges: DataFrame, parts: DataFrame, m: DataFrame) -> DataFrame:
-    """One row: the corpus statistics as a JSON text."""
+def _list(df: DataFrame, order: list[str], fields: dict[str, str], name: str) -> DataFrame:
+    """One row: a bounded table as an array of structs in order."""
+    item = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)], *[F.col(c).alias(n) for n, c in fields.items()])
+    rows = df.agg(F.array_sort(F.collect_list(item)).alias("x"))
+    return rows.select(F.transform("x", lambda s: F.struct(*[s[n].alias(n) for n in fields])).alias(name))
+
+
+def stats_document(records: DataFrame, edges: DataFrame, parts: DataFrame, m: DataFrame, least_edge: int = 2, least_node: int = 1) -> DataFrame:
+    """One row: the corpus statistics as a JSON text. Its lists hold ten authors,
+    twelve streaks, five titles of each kind, and one author and one word a year."""
     a = cut(authors(m))
-    top = a.orderBy(F.desc("n"), "first_seen").limit(10).agg(F.array_sort(F.collect_list(F.struct(F.negative("n").alias("o"), "first_seen", "display", "n", "first_group", "last_group"))).alias("x"))
-    one = F.lit(1).alias("_1")
+    named = top_by_group(m).join(a.select("key", "display"), "key").withColumnRenamed("n", "count")
+    extremes = cut(title_extremes(records).join(records.select("ingest_pos", "year", F.coalesce("authors_raw", F.lit("")).alias("authors")), "ingest_pos").withColumn("back", F.when(F.col("kind") == "longest", -F.col("words")).otherwise(F.col("words"))).withColumn("at", F.when(F.col("kind") == "longest", -F.col("ingest_pos")).otherwise(F.col("ingest_pos"))))
+    title = {"year": "year", "title": "title", "authors": "authors", "words": "words"}
+    top = top_authors(a, 10).withColumn("years_span", F.array("first_group", "last_group"))
+    words = over_represented(titled(records), "year", F.col("title"), F.lit(True)).withColumnRenamed("n", "count")
     parts_ = [
-        records.agg(F.count("*").alias("total_records"), F.min("year").alias("first_year"), F.max("year").alias("last_year")).withColumn("_1", F.lit(1)),
-        a.agg(F.count("*").alias("unique_authors")).withColumn("_1", F.lit(1)),
-        top.select(F.transform("x", lambda s: F.struct(s["display"].alias("name"), s["n"].alias("count"), F.array(s["first_group"], s["last_group"]).alias("years_span"))).alias("top_authors"), one),
-        network_stats(edges, parts).select(F.struct("nodes", "edges").alias("network"), one),
+        records.agg(F.count("*").alias("total_records"), F.min("year").alias("first_year"), F.max("year").alias("last_year")),
+        a.agg(F.count("*").alias("unique_authors")),
+        _list(top, ["place"], {"name": "display", "count": "n", "years_span": "years_span"}, "top_authors"),
+        _list(named, ["year"], {"year": "year", "name": "display", "count": "count"}, "yearly_top"),
+        _list(top_streaks(m, a), ["place"], {"name": "display", "streak": "streak", "first": "first", "last": "last"}, "top_streaks"),
+        *[_list(extremes.filter(F.col("kind") == kind), ["back", "at"], title, f"{kind}_titles") for kind in ("shortest", "longest")],
+        network_stats(edges, parts).select(F.struct("nodes", "edges", F.lit(least_node).alias("node_threshold"), F.lit(least_edge).alias("edge_threshold")).alias("network")),
+        _list(words, ["year"], {"year": "year", "word": "word", "count": "count"}, "yearly_word"),
     ]
-    doc = parts_[0]
+    doc = parts_[0].withColumn("_1", F.lit(1))
     for p in parts_[1:]:
-        doc = doc.join(p, "_1")
+        doc = doc.join(p.withColumn("_1", F.lit(1)), "_1")  # one row each
     return doc.drop("_1").select(F.to_json(F.struct("*")).alias("stats"))

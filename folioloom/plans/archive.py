@@ -497,6 +497,14 @@ def author_streaks(spark, d):
     return analytics.streaks(_mentions(spark, d), "key", "year", 3)
 
 
+@query(f"""WITH {MENTIONS}, {STREAKS}, best AS (SELECT key, streak FROM runs QUALIFY row_number() OVER (PARTITION BY key ORDER BY streak DESC, run) = 1 AND streak >= 5),
+who_met AS (SELECT key, min((ingest_pos, n)) AS met, min(year) AS first, max(year) AS last FROM m GROUP BY key)
+SELECT row_number() OVER (ORDER BY streak DESC, met) AS place, key, streak, first, last FROM best JOIN who_met USING (key) ORDER BY streak DESC, met LIMIT 12""")
+def author_streaks_top12(spark, d):
+    m = cut(_mentions(spark, d))
+    return analytics.top_streaks(m, analytics.authors(m)).drop("display")
+
+
 EDGES = "edges AS (SELECT x.key AS a, y.key AS b, count(*) AS weight FROM (SELECT DISTINCT ingest_pos, key FROM m) x JOIN (SELECT DISTINCT ingest_pos, key FROM m) y ON x.ingest_pos = y.ingest_pos AND x.key < y.key GROUP BY ALL HAVING count(*) >= 2)"
 
 
@@ -509,6 +517,12 @@ def coauthor_edges(spark, d):
     return _edges(spark, d)
 
 
+@query(f"WITH {MENTIONS.replace('m AS (', 'every AS (')}, m AS (SELECT * FROM every WHERE key IN (SELECT key FROM every GROUP BY key HAVING count(*) >= 6)), {EDGES} SELECT * FROM edges")
+def coauthor_edges_of_six(spark, d):
+    """Edges between authors of six mentions or more, as the network figure has them."""
+    return analytics.co_authors(_mentions(spark, d), least_node=6)
+
+
 PARTS = """both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges), reach AS (SELECT a AS node, a AS far FROM both_ways UNION SELECT r.node, w.b FROM reach r JOIN both_ways w ON w.a = r.far), parts AS (SELECT node, min(far) AS component FROM reach GROUP BY node)"""
 
 

@@ -54,7 +54,9 @@ def statistics(current: DataFrame, pos: str = "row_id", least_edge: int = 2, lea
     """The statistics document of the current records."""
     m = cut(analytics.mentions(current, pos=pos))
     edges = cut(analytics.co_authors(m, pos, least_edge, least_node))
-    return analytics.stats_document(current, edges, analytics.components(edges), m.withColumnRenamed(pos, "ingest_pos"))
+    rows = current.drop("ingest_pos").withColumnRenamed(pos, "ingest_pos") if pos != "ingest_pos" else current
+    rows = rows.withColumn("ingest_pos", F.xxhash64("ingest_pos")) if dict(rows.dtypes)["ingest_pos"] == "string" else rows
+    return analytics.stats_document(rows, edges, analytics.components(edges), m.withColumnRenamed(pos, "ingest_pos"), least_edge, least_node)
 
 
 def rebuild(spark: SparkSession, folder: str, log_path: str | None, years: DataFrame, out: str, least: int = files.LOW_TEXT) -> DataFrame:

@@ -24,7 +24,8 @@ def test_rebuild(spark, tmp_path):
     assert "@inproceedings{smith2005memory," in bib and "author = {Smith, A. and Jones, B.}" in bib and "booktitle inferred" in bib
     assert "| total |" in "\n".join(r["value"] for r in spark.read.text(str(tmp_path / "out/report")).collect())
     stats = json.loads(pipeline.statistics(current, least_edge=2, least_node=1).first()["stats"])
-    assert stats["total_records"] == 3 and stats["unique_authors"] == 3 and stats["network"] == {"nodes": 2, "edges": 1}
+    assert stats["total_records"] == 3 and stats["unique_authors"] == 3 and stats["network"] == {"nodes": 2, "edges": 1, "node_threshold": 1, "edge_threshold": 2}
+    assert stats["yearly_top"] and {"top_streaks", "shortest_titles", "longest_titles", "yearly_word"} <= set(stats)
 
 
 def test_a_second_pull_adds_nothing(spark, tmp_path, sf):
