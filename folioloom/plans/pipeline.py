@@ -50,13 +50,13 @@ def export(current: DataFrame, years: DataFrame, out: str, event: str = EVENT) -
     current.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{out}/report")
 
 
-def statistics(current: DataFrame, pos: str = "row_id", least_edge: int = 2, least_node: int = 6) -> DataFrame:
-    """The statistics document of the current records."""
-    m = cut(analytics.mentions(current, pos=pos))
-    edges = cut(analytics.co_authors(m, pos, least_edge, least_node))
-    rows = current.drop("ingest_pos").withColumnRenamed(pos, "ingest_pos") if pos != "ingest_pos" else current
-    rows = rows.withColumn("ingest_pos", F.xxhash64("ingest_pos")) if dict(rows.dtypes)["ingest_pos"] == "string" else rows
-    return analytics.stats_document(rows, edges, analytics.components(edges), m.withColumnRenamed(pos, "ingest_pos"), least_edge, least_node)
+def statistics(current: DataFrame, least_edge: int = 2, least_node: int = 6) -> DataFrame:
+    """The statistics document of the current records. Their order is that of the base rows, then of the log's adds."""
+    place = F.substring("row_id", 2, 30).cast("long") + F.when(F.col("row_id").startswith("a"), F.lit(1 << 61)).otherwise(0)
+    rows = cut(current.withColumn("ingest_pos", place))
+    m = cut(analytics.mentions(rows))
+    edges = cut(analytics.co_authors(m, least=least_edge, least_node=least_node))
+    return analytics.stats_document(rows, edges, analytics.components(edges), m, least_edge, least_node)
 
 
 def rebuild(spark: SparkSession, folder: str, log_path: str | None, years: DataFrame, out: str, least: int = files.LOW_TEXT) -> DataFrame:
